@@ -19,16 +19,26 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 BLOCK = 1024  # ids per block: a dense block product is 8 MB
 TASK_ENTRIES = 4_000_000  # packed entries one task may hold
-DENSE_CELLS = 20_000  # a key with more cells than this joins a dense product
+DENSE_SHARE = 400  # a key that fills more than 1/400 of the cells joins a dense product
+DENSE_KEYS = 512  # keys of one dense product
+PAIRS_AT_ONCE = 2_000_000  # products of entries expanded at a time
 
-_GROUP = "a int, b int, kind string, lids array<bigint>, lvals array<double>, rids array<bigint>, rvals array<double>"
+# kinds of rows a block task receives
+LEFT, RIGHT, PRODUCT, PARTIAL, CELL = range(5)
+
+_GROUP = "a int, b int, kind int, lids array<bigint>, lvals array<double>, rids array<bigint>, rvals array<double>"
 _NO_IDS = "cast(array() as array<bigint>)"
 _NO_VALS = "cast(array() as array<double>)"
 
@@ -52,14 +62,19 @@ class Size:
     hottest: int
 
 
-def measure(members: DataFrame, entries: DataFrame | None) -> Size:
-    """Number of ids, entries, and entries of the hottest id: one row."""
-    n = members.count()
-    if entries is None:
-        return Size(n, 0, 0)
-    per_id = entries.groupBy("id").agg(F.count("*").alias("c"))
-    row = per_id.agg(F.sum("c").alias("s"), F.max("c").alias("m")).first()
-    return Size(n, row["s"] or 0, row["m"] or 0)
+def measure(*sides: Side) -> list[Size]:
+    """Number of ids, entries, and entries of the hottest id of each side, in one job."""
+    parts = []
+    for no, s in enumerate(sides):
+        parts.append(s.members.select(F.lit(no).alias("side"), F.lit(1).alias("m"), F.lit(0).cast("bigint").alias("c")))
+        if s.entries is not None:
+            per_id = s.entries.groupBy("id").agg(F.count("*").alias("c"))
+            parts.append(per_id.select(F.lit(no).alias("side"), F.lit(0).alias("m"), "c"))
+    totals = reduce(DataFrame.unionByName, parts).groupBy("side").agg(
+        F.sum("m").alias("m"), F.sum("c").alias("s"), F.max("c").alias("h")
+    )
+    sizes = {r["side"]: Size(r["m"], r["s"], r["h"]) for r in totals.collect()}
+    return [sizes.get(no, Size(0, 0, 0)) for no in range(len(sides))]
 
 
 def block_count(ids: int, parallelism: int) -> int:
@@ -90,73 +105,97 @@ def _members(members: DataFrame, n: int, other_n: int, side: str) -> DataFrame:
     ids, vals = F.col("e.i"), F.flatten("e.v")
     if side == "a":
         return spread.select(
-            F.col("own").alias("a"), F.col("other").alias("b"), F.lit("m").alias("kind"),
+            F.col("own").alias("a"), F.col("other").alias("b"), F.lit(LEFT).alias("kind"),
             ids.alias("lids"), vals.alias("lvals"), F.expr(_NO_IDS).alias("rids"), F.expr(_NO_VALS).alias("rvals"),
         )
     return spread.select(
-        F.col("other").alias("a"), F.col("own").alias("b"), F.lit("n").alias("kind"),
+        F.col("other").alias("a"), F.col("own").alias("b"), F.lit(RIGHT).alias("kind"),
         F.expr(_NO_IDS).alias("lids"), F.expr(_NO_VALS).alias("lvals"), ids.alias("rids"), vals.alias("rvals"),
     )
 
 
-def _cells(cells: DataFrame, kind: str, na: int, nb: int) -> DataFrame:
+def _cells(cells: DataFrame, na: int, nb: int) -> DataFrame:
     """Per-cell rows ``(left_id, right_id, value)``, packed by left id and block."""
     packed = cells.groupBy(
         _block("left_id", na).alias("a"), _block("right_id", nb).alias("b"), F.col("left_id").cast("bigint").alias("l")
     ).agg(F.collect_list(F.struct(F.col("right_id").cast("bigint").alias("i"), F.col("value").cast("double").alias("v"))).alias("e"))
     return packed.select(
-        "a", "b", F.lit(kind).alias("kind"), F.array("l").alias("lids"), F.expr(_NO_VALS).alias("lvals"),
+        "a", "b", F.lit(CELL).alias("kind"), F.array("l").alias("lids"), F.expr(_NO_VALS).alias("lvals"),
         F.col("e.i").alias("rids"), F.col("e.v").alias("rvals"),
     )
 
 
-def _accumulate(packs: pd.DataFrame, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Add up the packed products of one block pair."""
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """A list column as one flat array and the length of each list."""
+    whole = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    return whole.flatten().to_numpy(zero_copy_only=False), whole.value_lengths().to_numpy(zero_copy_only=False)
+
+
+def _within(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, … within each list."""
+    starts = np.cumsum(lengths) - lengths
+    return np.arange(lengths.sum()) - np.repeat(starts, lengths)
+
+
+def _accumulate(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Add up the products and the partial cells of one block pair."""
     out = np.zeros((len(left), len(right)))
-    heavy_l: list[np.ndarray] = []
-    heavy_r: list[np.ndarray] = []
-
-    def flush() -> None:
-        if heavy_l:
-            np.add(out, np.stack(heavy_l).T @ np.stack(heavy_r), out=out)
-            heavy_l.clear()
-            heavy_r.clear()
-
-    for kind, lids, lvals, rids, rvals in zip(packs.kind, packs.lids, packs.lvals, packs.rids, packs.rvals):
-        rows = np.searchsorted(left, lids)
-        cols = np.searchsorted(right, rids)
-        if kind == "s":  # partial cells of another task
-            out[rows, cols] += lvals
-        elif len(rows) * len(cols) > DENSE_CELLS:
-            dense_l, dense_r = np.zeros(len(left)), np.zeros(len(right))
-            dense_l[rows], dense_r[cols] = lvals, rvals
-            heavy_l.append(dense_l)
-            heavy_r.append(dense_r)
-            if len(heavy_l) == 256:
-                flush()
-        else:
-            out[rows[:, None], cols] += np.multiply.outer(np.asarray(lvals), np.asarray(rvals))
-    flush()
+    partial = rows.filter(pc.equal(rows["kind"], PARTIAL))
+    if partial.num_rows:
+        r = np.searchsorted(left, _lists(partial["lids"])[0])
+        c = np.searchsorted(right, _lists(partial["rids"])[0])
+        out += np.bincount(r * len(right) + c, _lists(partial["lvals"])[0], out.size).reshape(out.shape)
+    products = rows.filter(pc.equal(rows["kind"], PRODUCT))
+    if not products.num_rows:
+        return out
+    ids, ln = _lists(products["lids"])
+    l_at, l_val = np.searchsorted(left, ids), _lists(products["lvals"])[0]
+    ids, rn = _lists(products["rids"])
+    r_at, r_val = np.searchsorted(right, ids), _lists(products["rvals"])[0]
+    l_start, r_start = np.cumsum(ln) - ln, np.cumsum(rn) - rn
+    pairs = ln.astype(np.int64) * rn
+    # a key with many cells is cheaper as part of a dense product
+    dense = pairs > out.size // DENSE_SHARE
+    for keys in np.array_split(np.flatnonzero(dense), max(1, -(-int(dense.sum()) // DENSE_KEYS))):
+        if len(keys):
+            slabs = []
+            for at, val, start, n, width in ((l_at, l_val, l_start, ln, len(left)), (r_at, r_val, r_start, rn, len(right))):
+                slab = np.zeros((len(keys), width))
+                flat = np.repeat(start[keys], n[keys]) + _within(n[keys])
+                slab[np.repeat(np.arange(len(keys)), n[keys]), at[flat]] = val[flat]
+                slabs.append(slab)
+            out += slabs[0].T @ slabs[1]
+    sparse = np.flatnonzero(~dense)
+    if len(sparse):
+        bounds = np.cumsum(pairs[sparse]) // PAIRS_AT_ONCE
+        for keys in np.split(sparse, np.flatnonzero(np.diff(bounds)) + 1):
+            # every left entry of a key, once for every right entry of the key
+            l_flat = np.repeat(l_start[keys], ln[keys]) + _within(ln[keys])
+            per_entry = np.repeat(rn[keys], ln[keys])
+            first = np.repeat(np.repeat(r_start[keys], ln[keys]), per_entry)
+            r_flat = first + _within(per_entry)
+            l_flat = np.repeat(l_flat, per_entry)
+            cell = l_at[l_flat] * len(right) + r_at[r_flat]
+            out += np.bincount(cell, l_val[l_flat] * r_val[r_flat], out.size).reshape(out.shape)
     return out
 
 
-def _sorted_members(rows: pd.DataFrame, ids: str, vals: str) -> tuple[np.ndarray, np.ndarray]:
-    if not len(rows):
-        return np.empty(0, dtype=np.int64), np.empty((0, 0))
-    i = np.concatenate([np.asarray(x, dtype=np.int64) for x in rows[ids]])
-    v = np.concatenate([np.asarray(x, dtype=float) for x in rows[vals]]).reshape(len(i), -1)
+def _sorted_members(ids: pa.ChunkedArray, vals: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    i, v = _lists(ids)[0], _lists(vals)[0]
+    if not len(i):
+        return np.empty(0, dtype=np.int64), np.empty((0, 1))
     order = np.argsort(i)
-    return i[order], v[order]
+    return i[order], v.reshape(len(i), -1)[order]
 
 
-def _partial(pdf: pd.DataFrame) -> pd.DataFrame:
-    left = np.unique(np.concatenate(pdf.lids.to_list()))
-    right = np.unique(np.concatenate(pdf.rids.to_list()))
-    acc = _accumulate(pdf, left, right)
+def _partial(rows: pa.Table) -> pa.Table:
+    left, right = np.unique(_lists(rows["lids"])[0]), np.unique(_lists(rows["rids"])[0])
+    acc = _accumulate(rows, left, right)
     r, c = np.nonzero(acc)
-    return pd.DataFrame(
-        {"a": pdf.a.iloc[:1], "b": pdf.b.iloc[:1], "kind": "s", "lids": [left[r]], "lvals": [acc[r, c]],
-         "rids": [right[c]], "rvals": [np.empty(0)]}
+    return pa.table(
+        {"a": rows["a"].slice(0, 1), "b": rows["b"].slice(0, 1), "kind": pa.array([PARTIAL], pa.int32()),
+         "lids": pa.array([left[r]], pa.list_(pa.int64())), "lvals": pa.array([acc[r, c]], pa.list_(pa.float64())),
+         "rids": pa.array([right[c]], pa.list_(pa.int64())), "rvals": pa.array([[]], pa.list_(pa.float64()))}
     )
 
 
@@ -179,14 +218,14 @@ class Block:
 def block_product(
     left: Side,
     right: Side,
-    reduce: Callable[[Block], pd.DataFrame],
+    finish: Callable[[Block], pd.DataFrame],
     schema: str,
     cells: DataFrame | None = None,
     symmetric: bool = False,
     splits: int | None = None,
     vectors: bool = False,
 ) -> DataFrame:
-    """Multiply two sides block by block and reduce every block product.
+    """Multiply two sides block by block and ``finish`` every block product.
 
     ``cells`` marks ``(left_id, right_id, value)`` for the reduction. With
     ``symmetric`` both sides are the same table: a block pair is multiplied once
@@ -195,8 +234,8 @@ def block_product(
     """
     spark = left.members.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    size_l = measure(left.members, left.entries)
-    size_r = size_l if symmetric else measure(right.members, right.entries)
+    sizes = measure(left) * 2 if symmetric else measure(left, right)
+    size_l, size_r = sizes
     na, nb = block_count(size_l.ids, cores), block_count(size_r.ids, cores)
     if splits is None:
         load = size_l.entries / na + size_l.hottest + size_r.entries / nb + size_r.hottest
@@ -213,59 +252,66 @@ def block_product(
             products = products.filter(F.col("a") <= F.col("b"))
         if splits > 1:
             salted = products.select(
-                "a", "b", F.pmod(F.xxhash64("k"), F.lit(splits)).alias("s"), F.lit("p").alias("kind"),
+                "a", "b", F.pmod(F.xxhash64("k"), F.lit(splits)).alias("s"), F.lit(PRODUCT).alias("kind"),
                 "lids", "lvals", "rids", "rvals",
             )
             products = (
                 salted.repartition(tasks * min(splits, 64), "a", "b", "s")
                 .groupBy("a", "b", "s")
-                .applyInPandas(_partial, _GROUP)
+                .applyInArrow(_partial, _GROUP)
             )
         else:
-            products = products.select("a", "b", F.lit("p").alias("kind"), "lids", "lvals", "rids", "rvals")
+            products = products.select("a", "b", F.lit(PRODUCT).alias("kind"), "lids", "lvals", "rids", "rvals")
         groups = groups.unionByName(products)
     if cells is not None:
-        groups = groups.unionByName(_cells(cells, "x", na, nb))
+        groups = groups.unionByName(_cells(cells, na, nb))
     if symmetric:
         groups = groups.filter(F.col("a") <= F.col("b"))
 
     marked_cells = cells is not None
+    out_schema = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        l_ids, l_aux = _sorted_members(pdf[pdf.kind == "m"], "lids", "lvals")
-        r_ids, r_aux = _sorted_members(pdf[pdf.kind == "n"], "rids", "rvals")
+    def run(rows: pa.Table) -> pa.Table:
+        own = rows.filter(pc.equal(rows["kind"], LEFT))
+        other = rows.filter(pc.equal(rows["kind"], RIGHT))
+        l_ids, l_aux = _sorted_members(own["lids"], own["lvals"])
+        r_ids, r_aux = _sorted_members(other["rids"], other["rvals"])
         if vectors:
             sums = l_aux @ r_aux.T if len(l_ids) and len(r_ids) else np.zeros((len(l_ids), len(r_ids)))
         else:
-            sums = _accumulate(pdf[pdf.kind.isin(["p", "s"])], l_ids, r_ids)
+            sums = _accumulate(rows, l_ids, r_ids)
         seen = np.zeros(sums.shape, dtype=bool)
-        values = np.zeros(sums.shape) if marked_cells else np.zeros((1, 1))
-        marked = pdf[pdf.kind == "x"]
-        for lids, rids, rvals in zip(marked.lids, marked.rids, marked.rvals):
-            row = np.searchsorted(l_ids, lids[0])
-            cols = np.searchsorted(r_ids, rids)
-            known = cols < len(r_ids)
-            known[known] = r_ids[cols[known]] == np.asarray(rids)[known]
-            if row < len(l_ids) and l_ids[row] == lids[0]:
-                seen[row, cols[known]] = True
-                values[row, cols[known]] = np.asarray(rvals)[known]
+        values = np.zeros(sums.shape if marked_cells else (1, 1))
+        marked = rows.filter(pc.equal(rows["kind"], CELL))
+        if marked.num_rows and sums.size:
+            r_flat, n = _lists(marked["rids"])
+            l_flat, v_flat = np.repeat(_lists(marked["lids"])[0], n), _lists(marked["rvals"])[0]
+            r, c = np.searchsorted(l_ids, l_flat), np.searchsorted(r_ids, r_flat)
+            r_safe, c_safe = np.minimum(r, len(l_ids) - 1), np.minimum(c, len(r_ids) - 1)
+            known = (l_ids[r_safe] == l_flat) & (r_ids[c_safe] == r_flat)
+            seen[r_safe[known], c_safe[known]] = True
+            values[r_safe[known], c_safe[known]] = v_flat[known]
         block = Block(sums, l_ids, l_aux, r_ids, r_aux, seen, values)
-        out = reduce(block)
-        if symmetric and pdf.a.iloc[0] != pdf.b.iloc[0]:
-            out = pd.concat([out, reduce(block.flipped())], ignore_index=True)
-        return out
+        out = [finish(block)]
+        if symmetric and rows["a"][0].as_py() != rows["b"][0].as_py():
+            out.append(finish(block.flipped()))
+        return pa.concat_tables([pa.Table.from_pandas(o, out_schema, preserve_index=False) for o in out])
 
-    return groups.repartition(tasks, "a", "b").groupBy("a", "b").applyInPandas(run, schema)
+    return groups.repartition(tasks, "a", "b").groupBy("a", "b").applyInArrow(run, schema)
 
 
 def best(score: np.ndarray, allowed: np.ndarray, block: Block, n: int, names: tuple[str, str, str]) -> pd.DataFrame:
     """The n best allowed cells of each row; ties go to the smaller right id."""
     score = np.where(allowed, np.floor(score * 1e6 + 0.5) / 1e6, -np.inf)
-    order = np.argsort(-score, axis=1, kind="stable")[:, :n]
-    rows = np.repeat(np.arange(len(block.left)), order.shape[1])
-    cols = order.ravel()
-    keep = allowed[rows, cols]
-    rows, cols = rows[keep], cols[keep]
+    if score.shape[1] > n:
+        bar = np.partition(score, score.shape[1] - n, axis=1)[:, score.shape[1] - n]
+    else:
+        bar = np.full(len(score), -np.inf)
+    rows, cols = np.nonzero((score >= bar[:, None]) & np.isfinite(score))
+    order = np.lexsort((cols, -score[rows, cols], rows))
+    rows, cols = rows[order], cols[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    rows, cols = rows[place < n], cols[place < n]
     return pd.DataFrame({names[0]: block.left[rows], names[1]: block.right[cols], names[2]: score[rows, cols]})
 
 

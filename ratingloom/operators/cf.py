@@ -20,6 +20,7 @@ from ratingloom.functions.numeric import snap
 from ratingloom.operators.blocks import Block, Side, best, block_product, nonzero_cells
 from ratingloom.operators.rank import top_n, top_scores
 from ratingloom.operators.similarity import nearest_between
+from ratingloom.sources.durable import durable
 
 CELLS = "left_id bigint, right_id bigint, value double"
 EPS = 1e-6
@@ -50,7 +51,7 @@ def item_table(rated: DataFrame) -> DataFrame:
         (F.col("rating") / F.sqrt("n_v")).alias("value"),
     )
     s = Side(weighted, item_ids(rated))
-    return block_product(s, s, nonzero_cells, CELLS, symmetric=True)
+    return durable(block_product(s, s, nonzero_cells, CELLS, symmetric=True))
 
 
 def rater_table(rated: DataFrame) -> DataFrame:
@@ -60,7 +61,7 @@ def rater_table(rated: DataFrame) -> DataFrame:
     key, ident = F.col("user_id").alias("k"), F.col("item_id").alias("id")
     left = Side(weighted.select(key, ident, (F.col("rating") / F.col("n_v")).alias("value")), members)
     right = Side(rated.select(key, ident, F.lit(1.0).alias("value")), members)
-    return block_product(left, right, nonzero_cells, CELLS)
+    return durable(block_product(left, right, nonzero_cells, CELLS))
 
 
 def _user_terms(rated: DataFrame) -> DataFrame:

@@ -21,9 +21,16 @@ from ratingloom.sources.readers import first_values
 STRIDES = (1299709039, 1500450271, 1618033999, 1800000011)
 
 
+def training_rows(df: DataFrame) -> DataFrame:
+    """Cached rows for an iterative fit, spread evenly over the tasks of every pass."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks).persist()
+
+
 def fit_kmeans(points: DataFrame, k: int, restarts: int = 10, max_iter: int = 500, seed: int = 0) -> KMeansModel:
     """K-means on a ``features`` vector column; the cheapest of several starts."""
-    data = points.select("features").persist()
+    data = training_rows(points.select("features"))
     try:
         models = [KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(data) for i in range(restarts)]
     finally:

@@ -14,7 +14,7 @@ from ratingloom.operators import (
 )
 from ratingloom.plans import experiments, metrics, split
 from ratingloom.sources import readers, sinks, tables as T
-from ratingloom.sources.durable import use_shared_folder
+from ratingloom.sources.durable import durable, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,8 +34,14 @@ def _joined(items: str) -> Column:
 
 
 def _bow(spark: SparkSession, d: str, min_df: int = 3) -> DataFrame:
-    docs = T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
-    return features.in_vocabulary(features.bag_of_words(docs, "item_id", "text"), min_df)
+    docs = T.spread(T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text"))
+    counts = durable(features.bag_of_words(docs, "item_id", "text"))
+    return durable(features.in_vocabulary(counts, min_df))
+
+
+def _ratings(spark: SparkSession, d: str) -> DataFrame:
+    """Deduplicated ratings, written once, for plans that read them many times."""
+    return durable(T.ratings(spark, d))
 
 
 def _all_items(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +81,7 @@ def clean_ids(spark, d):
 @query
 def feature_sink(spark, d):
     """Write features once, try to write others over them, read back the first."""
-    path = f"{use_shared_folder(spark)}/features-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/features-{uuid.uuid4().hex}"
     merged = features.merge_metadata(*[T.raw_metadata(spark, d)[k] for k in ("meta", "keywords", "credits")])
     sinks.save_features(features.combined_features(merged), path)
     sinks.save_features(merged.limit(0), path)
@@ -85,9 +91,9 @@ def feature_sink(spark, d):
 @query
 def model_roundtrip(spark, d):
     """Fitted factor tables written, read back and used."""
-    ratings = T.ratings(spark, d)
+    ratings = _ratings(spark, d)
     users, items = learned.latent_factors(learned.training_pairs(ratings))
-    path = f"{use_shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
     sinks.save_model({"users": users, "items": items}, path)
     model = sinks.load_model(spark, path, ["users", "items"])
     return svd.factor_recs(model["users"], model["items"], ratings, N)
@@ -158,7 +164,7 @@ def metadata_outer_join(spark, d):
 
 @query
 def recs_with_titles(spark, d):
-    recs = cf.memory_cf(T.ratings(spark, d), 5)
+    recs = cf.memory_cf(_ratings(spark, d), 5)
     return recs.join(_titles(spark, d), "item_id", "left").select("user_id", "rank", "item_id", "title")
 
 
@@ -247,7 +253,7 @@ def user_baskets(spark, d):
 
 @query
 def vocabulary(spark, d):
-    docs = T.table(spark, d, "documents")
+    docs = T.spread(T.table(spark, d, "documents").select("doc_id", "text"))
     return features.vocabulary(features.bag_of_words(docs, "doc_id", "text"), 3)
 
 
@@ -313,7 +319,7 @@ def clean_elements(spark, d):
 
 @query
 def text_keywords(spark, d):
-    docs = T.table(spark, d, "documents").select("doc_id", "text")
+    docs = T.spread(T.table(spark, d, "documents").select("doc_id", "text"))
     return features.key_words(docs, "doc_id", X.drop_placeholder(F.col("text")), 7)
 
 
@@ -329,7 +335,7 @@ def combined_features(spark, d):
 
 @query
 def bag_of_words(spark, d):
-    return features.bag_of_words(T.table(spark, d, "documents"), "doc_id", "text")
+    return features.bag_of_words(T.spread(T.table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 # --- similarity ------------------------------------------------------------------
@@ -337,7 +343,7 @@ def bag_of_words(spark, d):
 
 @query
 def user_cosine(spark, d):
-    s = similarity.similarity_summary(T.ratings(spark, d), "item_id", "user_id", "rating")
+    s = similarity.similarity_summary(_ratings(spark, d), "item_id", "user_id", "rating")
     return s.withColumnRenamed("id", "user_id")
 
 
@@ -348,7 +354,7 @@ def item_cosine(spark, d):
 
 
 def _neighbors(spark, d, metric):
-    found = similarity.nearest(T.ratings(spark, d), "item_id", "user_id", "rating", N, metric)
+    found = similarity.nearest(_ratings(spark, d), "item_id", "user_id", "rating", N, metric)
     return found.select(F.col("id").alias("user_id"), F.col("other_id").alias("neighbor_id"), "similarity", "rank")
 
 
@@ -374,12 +380,12 @@ def similar_items_report(spark, d):
 
 @query
 def user_profile(spark, d):
-    return content.user_profile(T.ratings(spark, d), _bow(spark, d))
+    return content.user_profile(_ratings(spark, d), _bow(spark, d))
 
 
 @query
 def weighted_user_features(spark, d):
-    return content.weighted_user_features(T.ratings(spark, d), _bow(spark, d, 20))
+    return content.weighted_user_features(_ratings(spark, d), _bow(spark, d, 20))
 
 
 @query
@@ -393,59 +399,59 @@ def nearest_to_centroid(spark, d):
 
 @query
 def memory_cf_recs(spark, d):
-    return cf.memory_cf(T.ratings(spark, d), N)
+    return cf.memory_cf(_ratings(spark, d), N)
 
 
 @query
 def memory_cf_predict(spark, d):
-    return cf.memory_cf_predict(split.leave_one_out(T.ratings(spark, d)))
+    return cf.memory_cf_predict(split.leave_one_out(_ratings(spark, d)))
 
 
 @query
 def memory_cf_predict_topk(spark, d):
-    return cf.memory_cf_predict(split.leave_one_out(T.ratings(spark, d)), top_k=20)
+    return cf.memory_cf_predict(split.leave_one_out(_ratings(spark, d)), top_k=20)
 
 
 @query
 def scaled_mse(spark, d):
-    return metrics.scaled_mse(cf.memory_cf_predict(split.leave_one_out(T.ratings(spark, d))))
+    return metrics.scaled_mse(cf.memory_cf_predict(split.leave_one_out(_ratings(spark, d))))
 
 
 @query
 def user_knn_recs(spark, d):
-    return knn.user_knn(T.ratings(spark, d), N)
+    return knn.user_knn(_ratings(spark, d), N)
 
 
 @query
 def user_knn_euclid_recs(spark, d):
-    return knn.user_knn(T.ratings(spark, d), N, metric="euclidean")
+    return knn.user_knn(_ratings(spark, d), N, metric="euclidean")
 
 
 @query
 def item_knn_recs(spark, d):
-    return knn.item_knn(T.ratings(spark, d), _bow(spark, d), _all_items(spark, d), N, 5)
+    return knn.item_knn(_ratings(spark, d), _bow(spark, d), _all_items(spark, d), N, 5)
 
 
 @query
 def item_knn_euclid_recs(spark, d):
-    return knn.item_knn(T.ratings(spark, d), _bow(spark, d), _all_items(spark, d), N, 50, "minkowski")
+    return knn.item_knn(_ratings(spark, d), _bow(spark, d), _all_items(spark, d), N, 50, "minkowski")
 
 
 @query
 def weighted_profile_recs(spark, d):
-    return content.weighted_profile(T.ratings(spark, d), _bow(spark, d), _all_items(spark, d), N)
+    return content.weighted_profile(_ratings(spark, d), _bow(spark, d), _all_items(spark, d), N)
 
 
 @query
 def svd_recs(spark, d):
-    ratings = T.ratings(spark, d)
+    ratings = _ratings(spark, d)
     f = svd.truncated_svd(ratings, 16)
     return svd.factor_recs(f.users, f.items, ratings, N)
 
 
 @query
 def svd_predict(spark, d):
-    rated = split.leave_one_out(T.ratings(spark, d))
+    rated = split.leave_one_out(_ratings(spark, d))
     f = svd.truncated_svd(rated.filter(~F.col("is_test")), 16)
     return svd.factor_predict(f.users, f.items, rated.filter("is_test"))
 
@@ -477,12 +483,12 @@ def rule_count_by_confidence(spark, d):
 @query
 def rule_recs(spark, d):
     found = rules.association_rules(_itemsets(spark, d), CONFIDENCE)
-    return rules.rule_recs(T.ratings(spark, d), found, N)
+    return rules.rule_recs(_ratings(spark, d), found, N)
 
 
 @query
 def cluster_scores(spark, d):
-    scores = cluster.cluster_scores(T.ratings(spark, d), T.clusters(spark, d))
+    scores = cluster.cluster_scores(_ratings(spark, d), T.clusters(spark, d))
     return scores.withColumn("mean_rating", snap(F.col("mean_rating")))
 
 
@@ -495,12 +501,12 @@ def cluster_popularity(spark, d):
 
 @query
 def cluster_probabilities(spark, d):
-    return cluster.cluster_probabilities(T.ratings(spark, d), T.clusters(spark, d))
+    return cluster.cluster_probabilities(_ratings(spark, d), T.clusters(spark, d))
 
 
 @query
 def cluster_popular_recs(spark, d):
-    recs = cluster.cluster_popular_recs(T.ratings(spark, d), T.clusters(spark, d), N)
+    recs = cluster.cluster_popular_recs(_ratings(spark, d), T.clusters(spark, d), N)
     return recs.withColumn("score", snap(F.col("score")))
 
 
@@ -511,24 +517,24 @@ def item_clusters(spark, d):
 
 @query
 def cluster_sample_recs(spark, d):
-    return cluster.cluster_sample_recs(T.ratings(spark, d), T.clusters(spark, d), N)
+    return cluster.cluster_sample_recs(_ratings(spark, d), T.clusters(spark, d), N)
 
 
 @query
 def cluster_sample_exponential_recs(spark, d):
-    return cluster.cluster_sample_recs(T.ratings(spark, d), T.clusters(spark, d), N, exponential=True)
+    return cluster.cluster_sample_recs(_ratings(spark, d), T.clusters(spark, d), N, exponential=True)
 
 
 @query
 def user_cluster_recs(spark, d):
-    ratings, items = T.ratings(spark, d), T.vectors(spark, d)
+    ratings, items = _ratings(spark, d), T.vectors(spark, d)
     assigned, centers = cluster.user_clusters(ratings, items)
     return cluster.user_cluster_recs(assigned, centers, ratings, items, N)
 
 
 @query
 def user_cluster_predict(spark, d):
-    rated, items = split.leave_one_out(T.ratings(spark, d)), T.vectors(spark, d)
+    rated, items = split.leave_one_out(_ratings(spark, d)), T.vectors(spark, d)
     assigned, centers = cluster.user_clusters(rated.filter(~F.col("is_test")), items)
     return cluster.user_cluster_predict(assigned, centers, rated.filter("is_test"), items)
 
@@ -558,26 +564,26 @@ def w2v_recs(spark, d):
 
 @query
 def negative_samples(spark, d):
-    return learned.negative_samples(T.ratings(spark, d))
+    return learned.negative_samples(_ratings(spark, d))
 
 
 @query
 def training_pairs(spark, d):
-    return learned.training_pairs(T.ratings(spark, d))
+    return learned.training_pairs(_ratings(spark, d))
 
 
 @query
 def latent_factor_recs(spark, d):
-    return learned.latent_factor_recs(T.ratings(spark, d), N)
+    return learned.latent_factor_recs(_ratings(spark, d), N)
 
 
 @query
 def content_regression_recs(spark, d):
-    return learned.content_regression_recs(T.ratings(spark, d), T.vectors(spark, d), N)
+    return learned.content_regression_recs(_ratings(spark, d), T.vectors(spark, d), N)
 
 
 def _two_methods(spark, d):
-    ratings = T.ratings(spark, d)
+    ratings = _ratings(spark, d)
     return {
         "memory_cf": cf.memory_cf(ratings, 50),
         "weighted_profile": content.weighted_profile(ratings, _bow(spark, d), _all_items(spark, d), 50),
@@ -600,27 +606,27 @@ def hybrid_predicate(spark, d):
 
 @query
 def hit_rate(spark, d):
-    rated = split.leave_one_out(T.ratings(spark, d))
+    rated = split.leave_one_out(_ratings(spark, d))
     return metrics.hit_rate(cf.memory_cf(rated, experiments.LIST_LENGTH), rated)
 
 
 @query
 def hit_rate_repeated(spark, d):
-    return experiments.repeated_sampling(T.ratings(spark, d), T.clusters(spark, d))
+    return experiments.repeated_sampling(_ratings(spark, d), T.clusters(spark, d))
 
 
 @query
 def hit_rate_grid(spark, d):
-    return experiments.neighbor_grid(T.ratings(spark, d), ["cosine", "euclidean"], [None, 4.0])
+    return experiments.neighbor_grid(_ratings(spark, d), ["cosine", "euclidean"], [None, 4.0])
 
 
 @query
 def method_comparison(spark, d):
-    return experiments.offline_comparison(T.ratings(spark, d), _bow(spark, d), _all_items(spark, d))
+    return experiments.offline_comparison(_ratings(spark, d), _bow(spark, d), _all_items(spark, d))
 
 
 @query
 def recommendation_report(spark, d):
-    rated = split.leave_one_out(T.ratings(spark, d))
+    rated = split.leave_one_out(_ratings(spark, d))
     recs = cluster.cluster_popular_recs(rated.filter(~F.col("is_test")), T.clusters(spark, d), experiments.LIST_LENGTH)
     return experiments.report(rated, recs, _titles(spark, d))

@@ -1,32 +1,34 @@
-"""Cutting a lineage so that the cut survives the loss of an executor."""
+"""Intermediate tables that are written once and survive the loss of an executor."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def use_shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session, from ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, from the setting ``spark.checkpoint.dir``.
 
     Only a local session without the setting gets a folder of its own.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not sc.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="ratingloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    sc.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and read it back from there."""
-    use_shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder once and read it from there.
+
+    Used where a table is read several times (a fitted table, token counts) or
+    where a plan grows with every iteration. The copy is columnar, so a reader
+    takes only its columns, and its size is known to the join planner.
+    """
+    path = f"{shared_folder(df.sparkSession)}/ratingloom/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

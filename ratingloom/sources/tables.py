@@ -11,6 +11,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a source with fewer splits than cores (one small file).
+
+    For work that is long per row, such as tokenising. A large source has more
+    splits than cores and is read as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+
+
 def rating_events(spark: SparkSession, folder: str) -> DataFrame:
     """Every rating event; an item may be rated again by the same user."""
     half_steps = F.ceil(F.col("value") / F.lit(12.5)).cast("double") * F.lit(0.5)
