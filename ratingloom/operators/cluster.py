@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -20,17 +22,20 @@ from ratingloom.sources.readers import first_values
 # whole ring of items once.
 STRIDES = (1299709039, 1500450271, 1618033999, 1800000011)
 
+ROWS_PER_TASK = 5_000  # of an iterative fit on small data; large data uses all tasks
+
 
 def training_rows(df: DataFrame) -> DataFrame:
-    """Cached rows for an iterative fit, spread evenly over the tasks of every pass."""
+    """Rows for an iterative fit, spread evenly over the tasks of every pass."""
     spark = df.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(tasks).persist()
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    tasks = max(1, min(most, math.ceil(df.count() / ROWS_PER_TASK)))
+    return df.repartition(tasks)
 
 
 def fit_kmeans(points: DataFrame, k: int, restarts: int = 10, max_iter: int = 500, seed: int = 0) -> KMeansModel:
     """K-means on a ``features`` vector column; the cheapest of several starts."""
-    data = training_rows(points.select("features"))
+    data = training_rows(points.select("features")).persist()
     try:
         models = [KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(data) for i in range(restarts)]
     finally:

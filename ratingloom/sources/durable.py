@@ -13,12 +13,13 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without the setting gets a folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="ratingloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ratingloom-"))
+        folder = sc.getCheckpointDir()
     return folder.rstrip("/")
 
 
