@@ -9,15 +9,17 @@ one left block by one right block in memory. A task hands on only what the
 operator asked for (the best n, a summary, the non-zero cells), so pairs never
 become rows of a shuffle.
 
-If the entries of a block pair would not fit a task (a hot id, very many keys),
-the keys are split over several tasks, each of which emits the cells it touched;
-these partial cells are added before the reduction. The result is the same.
+A task reads its rows batch by batch into one dense block, so its memory does not
+grow with the entries. If a block pair has very many entries (a hot id, very many
+keys), its keys are split over several tasks, each of which emits the cells it
+touched; these partial cells are added before the reduction. The result is the
+same.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,7 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 BLOCK = 1024  # ids per block: a dense block product is 8 MB
-TASK_ENTRIES = 4_000_000  # packed entries one task may hold
+TASK_ENTRIES = 50_000_000  # packed entries one task should read
 DENSE_SHARE = 400  # a key that fills more than 1/400 of the cells joins a dense product
 DENSE_KEYS = 512  # keys of one dense product
 PAIRS_AT_ONCE = 2_000_000  # products of entries expanded at a time
@@ -137,17 +139,16 @@ def _within(lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) - np.repeat(starts, lengths)
 
 
-def _accumulate(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Add up the products and the partial cells of one block pair."""
-    out = np.zeros((len(left), len(right)))
+def _accumulate(out: np.ndarray, rows: pa.Table, left: np.ndarray, right: np.ndarray) -> None:
+    """Add the products and partial cells of some rows to the sums of a block pair."""
     partial = rows.filter(pc.equal(rows["kind"], PARTIAL))
     if partial.num_rows:
         r = np.searchsorted(left, _lists(partial["lids"])[0])
         c = np.searchsorted(right, _lists(partial["rids"])[0])
         out += np.bincount(r * len(right) + c, _lists(partial["lvals"])[0], out.size).reshape(out.shape)
     products = rows.filter(pc.equal(rows["kind"], PRODUCT))
-    if not products.num_rows:
-        return out
+    if not products.num_rows or not out.size:
+        return
     ids, ln = _lists(products["lids"])
     l_at, l_val = np.searchsorted(left, ids), _lists(products["lvals"])[0]
     ids, rn = _lists(products["rids"])
@@ -177,7 +178,6 @@ def _accumulate(rows: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarr
             l_flat = np.repeat(l_flat, per_entry)
             cell = l_at[l_flat] * len(right) + r_at[r_flat]
             out += np.bincount(cell, l_val[l_flat] * r_val[r_flat], out.size).reshape(out.shape)
-    return out
 
 
 def _sorted_members(ids: pa.ChunkedArray, vals: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,15 +188,79 @@ def _sorted_members(ids: pa.ChunkedArray, vals: pa.ChunkedArray) -> tuple[np.nda
     return i[order], v.reshape(len(i), -1)[order]
 
 
-def _partial(rows: pa.Table) -> pa.Table:
-    left, right = np.unique(_lists(rows["lids"])[0]), np.unique(_lists(rows["rids"])[0])
-    acc = _accumulate(rows, left, right)
-    r, c = np.nonzero(acc)
-    return pa.table(
-        {"a": rows["a"].slice(0, 1), "b": rows["b"].slice(0, 1), "kind": pa.array([PARTIAL], pa.int32()),
-         "lids": pa.array([left[r]], pa.list_(pa.int64())), "lvals": pa.array([acc[r, c]], pa.list_(pa.float64())),
-         "rids": pa.array([right[c]], pa.list_(pa.int64())), "rvals": pa.array([[]], pa.list_(pa.float64()))}
-    )
+class _Gathered:
+    """What one group adds up to, batch by batch.
+
+    The rows of a group are sorted by kind: members first, so that the ids of
+    both sides are known before the first product. Memory is one dense block and
+    one batch, however many rows the group has.
+    """
+
+    def __init__(self, vectors: bool, marked: bool):
+        self.vectors, self.marked = vectors, marked
+        self.members: dict[int, list[pa.Table]] = {LEFT: [], RIGHT: []}
+        self.sums: np.ndarray | None = None
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        rows = pa.Table.from_batches([batch])
+        for kind, found in self.members.items():
+            part = rows.filter(pc.equal(rows["kind"], kind))
+            if part.num_rows:
+                if self.sums is not None:
+                    raise RuntimeError("members of a block after its products")
+                found.append(part)
+        rest = rows.filter(pc.greater(rows["kind"], RIGHT))
+        if rest.num_rows:
+            self.start()
+            if not self.vectors:
+                _accumulate(self.sums, rest, self.left, self.right)
+            self.mark(rest.filter(pc.equal(rest["kind"], CELL)))
+
+    def start(self) -> None:
+        if self.sums is not None:
+            return
+        own, other = (self._table(kind) for kind in (LEFT, RIGHT))
+        self.left, self.left_aux = _sorted_members(own["lids"], own["lvals"])
+        self.right, self.right_aux = _sorted_members(other["rids"], other["rvals"])
+        shape = (len(self.left), len(self.right))
+        self.sums = self.left_aux @ self.right_aux.T if self.vectors and all(shape) else np.zeros(shape)
+        self.seen = np.zeros(shape, dtype=bool)
+        self.values = np.zeros(shape if self.marked else (1, 1))
+
+    def _table(self, kind: int) -> pa.Table:
+        return pa.concat_tables(self.members[kind]) if self.members[kind] else _NOTHING
+
+    def mark(self, cells: pa.Table) -> None:
+        if not cells.num_rows or not self.sums.size:
+            return
+        r_flat, n = _lists(cells["rids"])
+        l_flat, v_flat = np.repeat(_lists(cells["lids"])[0], n), _lists(cells["rvals"])[0]
+        r = np.minimum(np.searchsorted(self.left, l_flat), len(self.left) - 1)
+        c = np.minimum(np.searchsorted(self.right, r_flat), len(self.right) - 1)
+        known = (self.left[r] == l_flat) & (self.right[c] == r_flat)
+        self.seen[r[known], c[known]] = True
+        self.values[r[known], c[known]] = v_flat[known]
+
+    def block(self) -> Block:
+        return Block(self.sums, self.left, self.left_aux, self.right, self.right_aux, self.seen, self.values)
+
+
+_LIST_I, _LIST_V = pa.list_(pa.int64()), pa.list_(pa.float64())
+_NOTHING = pa.table({"lids": pa.array([], _LIST_I), "lvals": pa.array([], _LIST_V), "rids": pa.array([], _LIST_I), "rvals": pa.array([], _LIST_V)})
+
+
+def _partial(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The non-zero cells of one share of the keys of a block pair."""
+    g = _Gathered(False, False)
+    for batch in batches:
+        g.add(batch)
+    if g.sums is not None:
+        r, c = np.nonzero(g.sums)
+        yield pa.RecordBatch.from_pydict(
+            {"a": pa.array([key[0].as_py()], pa.int32()), "b": pa.array([key[1].as_py()], pa.int32()),
+             "kind": pa.array([PARTIAL], pa.int32()), "lids": pa.array([g.left[r]], _LIST_I), "lvals": pa.array([g.sums[r, c]], _LIST_V),
+             "rids": pa.array([g.right[c]], _LIST_I), "rvals": pa.array([[]], _LIST_V)}
+        )
 
 
 @dataclass
@@ -244,6 +308,8 @@ def block_product(
     tasks = min(na * nb, max(shuffle, 4 * cores))
 
     groups = _members(left.members, na, nb, "a").unionByName(_members(right.members, nb, na, "b"))
+    if symmetric:
+        groups = groups.filter(F.col("a") <= F.col("b"))
     if not vectors:
         packs_l = _pack(left.entries, na, "a")
         packs_r = _pack(right.entries, nb, "b")
@@ -251,12 +317,13 @@ def block_product(
         if symmetric:
             products = products.filter(F.col("a") <= F.col("b"))
         if splits > 1:
-            salted = products.select(
-                "a", "b", F.pmod(F.xxhash64("k"), F.lit(splits)).alias("s"), F.lit(PRODUCT).alias("kind"),
-                "lids", "lvals", "rids", "rvals",
-            )
+            salt = F.pmod(F.xxhash64("k"), F.lit(splits)).cast("int").alias("s")
+            salted = products.select("a", "b", salt, F.lit(PRODUCT).alias("kind"), "lids", "lvals", "rids", "rvals")
+            everywhere = groups.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))).select(salted.columns)
             products = (
-                salted.repartition(tasks * min(splits, 64), "a", "b", "s")
+                everywhere.unionByName(salted)
+                .repartition(tasks * min(splits, 64), "a", "b", "s")
+                .sortWithinPartitions("a", "b", "s", "kind")
                 .groupBy("a", "b", "s")
                 .applyInArrow(_partial, _GROUP)
             )
@@ -265,39 +332,26 @@ def block_product(
         groups = groups.unionByName(products)
     if cells is not None:
         groups = groups.unionByName(_cells(cells, na, nb))
-    if symmetric:
-        groups = groups.filter(F.col("a") <= F.col("b"))
 
-    marked_cells = cells is not None
+    marked = cells is not None
     out_schema = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(rows: pa.Table) -> pa.Table:
-        own = rows.filter(pc.equal(rows["kind"], LEFT))
-        other = rows.filter(pc.equal(rows["kind"], RIGHT))
-        l_ids, l_aux = _sorted_members(own["lids"], own["lvals"])
-        r_ids, r_aux = _sorted_members(other["rids"], other["rvals"])
-        if vectors:
-            sums = l_aux @ r_aux.T if len(l_ids) and len(r_ids) else np.zeros((len(l_ids), len(r_ids)))
-        else:
-            sums = _accumulate(rows, l_ids, r_ids)
-        seen = np.zeros(sums.shape, dtype=bool)
-        values = np.zeros(sums.shape if marked_cells else (1, 1))
-        marked = rows.filter(pc.equal(rows["kind"], CELL))
-        if marked.num_rows and sums.size:
-            r_flat, n = _lists(marked["rids"])
-            l_flat, v_flat = np.repeat(_lists(marked["lids"])[0], n), _lists(marked["rvals"])[0]
-            r, c = np.searchsorted(l_ids, l_flat), np.searchsorted(r_ids, r_flat)
-            r_safe, c_safe = np.minimum(r, len(l_ids) - 1), np.minimum(c, len(r_ids) - 1)
-            known = (l_ids[r_safe] == l_flat) & (r_ids[c_safe] == r_flat)
-            seen[r_safe[known], c_safe[known]] = True
-            values[r_safe[known], c_safe[known]] = v_flat[known]
-        block = Block(sums, l_ids, l_aux, r_ids, r_aux, seen, values)
-        out = [finish(block)]
-        if symmetric and rows["a"][0].as_py() != rows["b"][0].as_py():
-            out.append(finish(block.flipped()))
-        return pa.concat_tables([pa.Table.from_pandas(o, out_schema, preserve_index=False) for o in out])
-
-    return groups.repartition(tasks, "a", "b").groupBy("a", "b").applyInArrow(run, schema)
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = _Gathered(vectors, marked)
+        for batch in batches:
+            g.add(batch)
+        g.start()
+        block = g.block()
+        yield pa.RecordBatch.from_pandas(finish(block), out_schema, preserve_index=False)
+        if symmetric and key[0] != key[1]:
+            yield pa.RecordBatch.from_pandas(finish(block.flipped()), out_schema, preserve_index=False)
+
+    return (
+        groups.repartition(tasks, "a", "b")
+        .sortWithinPartitions("a", "b", "kind")
+        .groupBy("a", "b")
+        .applyInArrow(run, schema)
+    )
 
 
 def best(score: np.ndarray, allowed: np.ndarray, block: Block, n: int, names: tuple[str, str, str]) -> pd.DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,10 +11,21 @@ from ratingloom.functions.numeric import snap
 from ratingloom.operators import cf, cluster, content, hybrid, knn
 from ratingloom.plans import metrics, split
 
+Recommender = Callable[[DataFrame], DataFrame]
+
 LIST_LENGTH = 30
 HYBRID_LENGTH = 50
 
 
+def evaluate(recommenders: dict[str, Recommender], ratings: DataFrame, threshold: float | None = None) -> DataFrame:
+    """Hits of any recommenders on one leave-one-out split.
+
+    A recommender is a function of the split ratings that returns ranked rows.
+    """
+    rated = split.leave_one_out(ratings, threshold=threshold)
+    return metrics.compare({name: fit(rated) for name, fit in recommenders.items()}, rated)
+
+
 def offline_comparison(ratings: DataFrame, bow: DataFrame, items: DataFrame, threshold: float | None = None) -> DataFrame:
     """Hits of memory-based CF, user-kNN, weighted profile and their mean hybrid."""
     rated = split.leave_one_out(ratings, threshold=threshold)
@@ -44,6 +56,24 @@ def neighbor_grid(ratings: DataFrame, similarities: list[str], thresholds: list[
     return reduce(DataFrame.unionByName, runs)
 
 
+def item_neighbor_grid(
+    ratings: DataFrame, bow: DataFrame, items: DataFrame, similarities: list[str], thresholds: list[float | None], k: int = 50, n: int = LIST_LENGTH
+) -> DataFrame:
+    """Hits of item-kNN for each distance and each threshold of the ratings."""
+    runs = []
+    for threshold in thresholds:
+        rated = split.thresholded_leave_last_out(ratings, threshold)
+        train = rated.filter(~F.col("is_test")).select("user_id", "item_id", "rating")
+        for metric in similarities:
+            row = metrics.hit_rate(knn.item_knn(train, bow, items, n, k, metric), rated)
+            runs.append(
+                row.select(
+                    F.lit(metric).alias("metric"), F.lit(threshold).cast("double").alias("threshold"), "hits", "users", "rate"
+                )
+            )
+    return reduce(DataFrame.unionByName, runs)
+
+
 def repeated_sampling(ratings: DataFrame, clusters: DataFrame, repeats: int = 10, n: int = LIST_LENGTH) -> DataFrame:
     """Mean hits of cluster sampling over several seeds, all seeds in one plan."""
     rated = split.leave_one_out(ratings)

@@ -192,23 +192,25 @@ def cluster_popular(train: str, n: int) -> str:
   cp AS ({top('cc', n, 'cr, popularity DESC, item_id')})"""
 
 
-def item_knn(k: int, metric: str, n: int = 10) -> str:
+NORMS = """nm AS (SELECT doc_id AS item_id, coalesce(sum(cnt*cnt),0) AS q, sqrt(coalesce(sum(cnt*cnt),0)) AS n
+      FROM documents LEFT JOIN bv ON item_id=doc_id GROUP BY 1),
+  rated AS (SELECT DISTINCT item_id FROM rt),
+  dots AS (SELECT a.item_id AS j, b.item_id AS i, CAST(sum(a.cnt*b.cnt) AS DOUBLE) AS dot FROM bv a SEMI JOIN rated USING (item_id) JOIN bv b USING (token) GROUP BY 1,2)"""
+
+
+def item_knn(k: int, metric: str, n: int = 10, train: str = "rt", tag: str = "") -> str:
     dist = "CASE WHEN j.n*i.n>0 THEN 1.0-coalesce(dot,0)/(j.n*i.n) ELSE 1.0 END" if metric == "cosine" else (
         "sqrt(greatest(j.q+i.q-2*coalesce(dot,0),0))"
     )
-    return f"""nm AS (SELECT doc_id AS item_id, coalesce(sum(cnt*cnt),0) AS q, sqrt(coalesce(sum(cnt*cnt),0)) AS n
-      FROM documents LEFT JOIN bv ON item_id=doc_id GROUP BY 1),
-  rated AS (SELECT DISTINCT item_id FROM rt),
-  dots AS (SELECT a.item_id AS j, b.item_id AS i, CAST(sum(a.cnt*b.cnt) AS DOUBLE) AS dot FROM bv a SEMI JOIN rated USING (item_id) JOIN bv b USING (token) GROUP BY 1,2),
-  ds AS (SELECT j.item_id AS j, i.item_id AS i, {dist} AS d FROM (SELECT * FROM nm SEMI JOIN rated USING (item_id)) j CROSS JOIN nm i
+    return f"""ds{tag} AS (SELECT j.item_id AS j, i.item_id AS i, {dist} AS d FROM (SELECT * FROM nm SEMI JOIN rated USING (item_id)) j CROSS JOIN nm i
     LEFT JOIN dots ON dots.j=j.item_id AND dots.i=i.item_id),
-  cand AS (SELECT r.user_id, ds.i AS item_id, r.rating, d, floor(d*1e6+0.5) AS g,
+  cand{tag} AS (SELECT r.user_id, ds.i AS item_id, r.rating, d, floor(d*1e6+0.5) AS g,
       row_number() OVER (PARTITION BY r.user_id, ds.i ORDER BY floor(d*1e6+0.5), r.item_id) AS rn
-    FROM rt r JOIN ds ON ds.j=r.item_id),
-  kn AS (SELECT user_id, item_id, CASE WHEN min(g)=0 THEN avg(rating) FILTER (WHERE g=0) ELSE sum(rating/d) FILTER (WHERE g>0)/sum(1.0/d) FILTER (WHERE g>0) END AS score
-    FROM cand WHERE rn<={k} GROUP BY 1,2),
-  ks AS (SELECT user_id, item_id, {r6('score')} AS score FROM kn ANTI JOIN rt USING (user_id,item_id))
-  SELECT user_id, item_id, score, rank FROM ({top('ks', n)})"""
+    FROM {train} r JOIN ds{tag} ds ON ds.j=r.item_id),
+  kn{tag} AS (SELECT user_id, item_id, CASE WHEN min(g)=0 THEN avg(rating) FILTER (WHERE g=0) ELSE sum(rating/d) FILTER (WHERE g>0)/sum(1.0/d) FILTER (WHERE g>0) END AS score
+    FROM cand{tag} WHERE rn<={k} GROUP BY 1,2),
+  ks{tag} AS (SELECT user_id, item_id, {r6('score')} AS score FROM kn{tag} ANTI JOIN {train} t USING (user_id,item_id)),
+  ik{tag} AS ({top('ks' + tag, n)})"""
 
 
 def _negatives() -> str:
@@ -366,10 +368,8 @@ def sql() -> dict[str, str]:
     )
     q["user_knn_recs"] = w(RT, user_knn("rt", 10), f"SELECT {RECS} FROM knn")
     q["user_knn_euclid_recs"] = w(RT, user_knn("rt", 10, "euclidean"), f"SELECT {RECS} FROM knn")
-    q["item_knn_recs"] = w(RT, BOW, item_knn(5, "cosine"))
-    q["item_knn_euclid_recs"] = w(RT, BOW, item_knn(50, "minkowski"))
-    q["item_knn_recs"] = "WITH " + RT + ",\n" + BOW + ",\n" + item_knn(5, "cosine")
-    q["item_knn_euclid_recs"] = "WITH " + RT + ",\n" + BOW + ",\n" + item_knn(50, "minkowski")
+    q["item_knn_recs"] = w(RT, BOW, NORMS, item_knn(5, "cosine"), f"SELECT {RECS} FROM ik")
+    q["item_knn_euclid_recs"] = w(RT, BOW, NORMS, item_knn(50, "minkowski"), f"SELECT {RECS} FROM ik")
     q["weighted_profile_recs"] = w(RT, BOW, weighted_profile("rt", 10), f"SELECT {RECS} FROM wp")
     q["frequent_itemsets"] = w(RT, SETS, f"SELECT array_to_string(items,',') AS items, freq, {r6('support')} AS support FROM sets")
     q["itemsets_with_titles"] = w(
@@ -441,8 +441,25 @@ def sql() -> dict[str, str]:
                 f"SELECT '{metric}' AS metric, CAST({shown} AS DOUBLE) AS threshold, {HITS} FROM te{t} te LEFT JOIN knn{tag} h ON h.user_id=te.user_id AND h.item_id=te.item_id"
             )
     q["hit_rate_grid"] = w(*parts, " UNION ALL ".join(rows))
-    q["method_comparison"] = w(
-        RT, NEWEST, BOW, memory_cf("tr", 50), weighted_profile("tr", 50), user_knn("tr", 30, tag="k"),
+    parts, rows = [RT, BOW, NORMS], []
+    for t, threshold in enumerate((4.0, None)):
+        pool = "rt"
+        if threshold is not None:
+            parts.append(positives("rt", threshold, 2))
+            pool = "pos"
+        test, train = LOO.format(pool=pool).split("\n  tr AS")
+        parts.append(test.replace("te AS", f"te{t} AS").rstrip(","))
+        parts.append(f"tr{t} AS (SELECT user_id, item_id, rating FROM {pool} ANTI JOIN te{t} USING (user_id,item_id))")
+        for metric in ("cosine", "minkowski"):
+            tag = f"{t}{metric[0]}"
+            parts.append(item_knn(50, metric, 30, f"tr{t}", tag))
+            shown = "NULL" if threshold is None else str(threshold)
+            rows.append(
+                f"SELECT '{metric}' AS metric, CAST({shown} AS DOUBLE) AS threshold, {HITS} FROM te{t} te LEFT JOIN ik{tag} h ON h.user_id=te.user_id AND h.item_id=te.item_id"
+            )
+    q["hit_rate_item_grid"] = w(*parts, " UNION ALL ".join(rows))
+    four = (
+        BOW, memory_cf("tr", 50), weighted_profile("tr", 50), user_knn("tr", 30, tag="k"),
         f"hx AS (SELECT user_id, item_id, {r6('avg(rank-1)')} AS score FROM (SELECT user_id,item_id,rank FROM mem UNION ALL SELECT user_id,item_id,rank FROM wp) GROUP BY 1,2)",
         f"hy AS ({top('hx', 30, 'score, item_id')})",
         " UNION ALL ".join(
@@ -450,6 +467,8 @@ def sql() -> dict[str, str]:
             for name, m in (("memory_cf", "mem"), ("user_knn", "knn"), ("weighted_profile", "wp"), ("average_hybrid", "hy"))
         ),
     )
+    q["method_comparison"] = w(RT, NEWEST, *four)
+    q["method_comparison_positive"] = w(RT, positives("rt", 4.0, 1), LOO.format(pool="pos"), *four)
     q["recommendation_report"] = w(
         RT, NEWEST, CL, cluster_popular("tr", 30),
         "a AS (SELECT user_id, 'rated' AS section, item_id, rating AS score FROM tr UNION ALL SELECT user_id, 'recommended', item_id, CAST(rank AS DOUBLE) FROM cp UNION ALL SELECT user_id, 'test', item_id, rating FROM te)",

@@ -625,6 +625,18 @@ def method_comparison(spark, d):
     return experiments.offline_comparison(_ratings(spark, d), _bow(spark, d), _all_items(spark, d))
 
 
+@query
+def hit_rate_item_grid(spark, d):
+    return experiments.item_neighbor_grid(
+        _ratings(spark, d), _bow(spark, d), _all_items(spark, d), ["cosine", "minkowski"], [4.0, None]
+    )
+
+
+@query
+def method_comparison_positive(spark, d):
+    return experiments.offline_comparison(_ratings(spark, d), _bow(spark, d), _all_items(spark, d), 4.0)
+
+
 @query
 def recommendation_report(spark, d):
     rated = split.leave_one_out(_ratings(spark, d))

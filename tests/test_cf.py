@@ -56,3 +56,14 @@ def test_no_holdout_recommends_unrated_only(random_ratings):
     frame, cells = random_ratings
     per_user = check_recs(cf.memory_cf(frame, 5), set(cells), 5)
     assert len(per_user) == 40
+
+
+def test_any_recommender_can_be_evaluated(random_ratings):
+    from ratingloom.plans import experiments
+
+    table = experiments.evaluate(
+        {"three": lambda rated: cf.memory_cf(rated, 3), "all": lambda rated: cf.memory_cf(rated, 25)}, random_ratings[0]
+    )
+    rows = {r["method"]: r for r in table.collect()}
+    assert rows["all"]["hits"] == rows["all"]["users"] == 40
+    assert rows["three"]["hits"] < 40
