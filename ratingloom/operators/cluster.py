@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -16,6 +16,7 @@ from ratingloom.functions.numeric import MODULUS, seeded_hash, snap
 from ratingloom.operators.blocks import Block, Side, block_product
 from ratingloom.operators.lists import ranked_lists, walk_lists
 from ratingloom.operators.rank import exclude_seen, top_n
+from ratingloom.sources.durable import durable
 from ratingloom.sources.readers import first_values
 
 # Primes larger than any cluster, so each is a step that visits a
@@ -43,11 +44,26 @@ def fit_kmeans(points: DataFrame, k: int, restarts: int = 10, max_iter: int = 50
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def count_features(docs: DataFrame, text_tokens: Column, min_df: float, vocabulary_size: int = 1 << 18) -> tuple[CountVectorizerModel, DataFrame]:
-    """Bag-of-words vectors; ``vocabulary_size`` bounds what the driver holds."""
+def count_features(docs: DataFrame, text_tokens: Column, min_df: int, most: int = 1 << 18) -> DataFrame:
+    """Bag-of-words ``features`` vectors over the tokens of at least ``min_df`` rows.
+
+    The fitted vocabulary is held by the driver; a larger one than ``most`` is
+    refused rather than cut.
+    """
     words = docs.withColumn("_tokens", text_tokens)
-    model = CountVectorizer(inputCol="_tokens", outputCol="features", minDF=min_df, vocabSize=vocabulary_size).fit(words)
-    return model, model.transform(words).drop("_tokens")
+    found = words.select(F.explode(F.array_distinct("_tokens")).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+    size = found.filter(F.col("df") >= min_df).count()
+    if not 0 < size <= most:
+        raise ValueError(f"{size} tokens in the vocabulary, at most {most} allowed")
+    model = CountVectorizer(inputCol="_tokens", outputCol="features", minDF=min_df, vocabSize=size).fit(words)
+    return model.transform(words).drop("_tokens")
+
+
+def text_clusters(docs: DataFrame, text_tokens: Column, k: int, min_df: int = 3, restarts: int = 10) -> DataFrame:
+    """``(item_id, cluster)`` by k-means on token counts."""
+    points = durable(count_features(docs, text_tokens, min_df).select("item_id", "features"))
+    model = fit_kmeans(points, k, restarts)
+    return model.transform(points).select("item_id", F.col("prediction").cast("bigint").alias("cluster"))
 
 
 def item_clusters(items: DataFrame, k: int, restarts: int = 10) -> DataFrame:

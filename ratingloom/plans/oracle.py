@@ -160,15 +160,10 @@ def user_knn(train: str, n: int, metric: str = "cosine", name: str = "knn", tag:
 SETS = """b AS (SELECT user_id, item_id FROM rt WHERE rating>=4.0), nb AS (SELECT count(DISTINCT user_id) AS n FROM b),
   i1 AS (SELECT item_id AS a, count(*) AS c FROM b GROUP BY 1 HAVING count(*)>=0.02*(SELECT n FROM nb)),
   f AS (SELECT b.* FROM b SEMI JOIN i1 ON i1.a=b.item_id),
-  t2 AS (SELECT x.user_id, x.item_id AS a, y.item_id AS b FROM f x JOIN f y ON x.user_id=y.user_id AND x.item_id<y.item_id),
-  i2 AS (SELECT a,b,count(*) AS c FROM t2 GROUP BY 1,2 HAVING count(*)>=0.02*(SELECT n FROM nb)),
-  t3 AS (SELECT t2.user_id, t2.a, t2.b, f.item_id AS c FROM t2 SEMI JOIN i2 ON i2.a=t2.a AND i2.b=t2.b JOIN f ON f.user_id=t2.user_id AND f.item_id>t2.b),
-  i3 AS (SELECT a,b,c,count(*) AS n FROM t3 GROUP BY 1,2,3 HAVING count(*)>=0.02*(SELECT n FROM nb)),
-  t4 AS (SELECT t3.user_id, t3.a, t3.b, t3.c, f.item_id AS d FROM t3 SEMI JOIN i3 ON i3.a=t3.a AND i3.b=t3.b AND i3.c=t3.c
-    JOIN f ON f.user_id=t3.user_id AND f.item_id>t3.c),
-  i4 AS (SELECT a,b,c,d,count(*) AS n FROM t4 GROUP BY 1,2,3,4 HAVING count(*)>=0.02*(SELECT n FROM nb)),
-  sets AS (SELECT items, freq, freq/CAST((SELECT n FROM nb) AS DOUBLE) AS support FROM (
-    SELECT [a] AS items, c AS freq FROM i1 UNION ALL SELECT [a,b], c FROM i2 UNION ALL SELECT [a,b,c], n FROM i3 UNION ALL SELECT [a,b,c,d], n FROM i4))"""
+  sub AS (SELECT user_id, [item_id] AS items, item_id AS last FROM f UNION ALL
+    SELECT s.user_id, list_append(s.items, f.item_id), f.item_id FROM sub s JOIN f ON f.user_id=s.user_id AND f.item_id>s.last),
+  sets AS (SELECT items, count(*) AS freq, count(*)/CAST((SELECT n FROM nb) AS DOUBLE) AS support FROM sub GROUP BY 1
+    HAVING count(*)>=0.02*(SELECT n FROM nb))"""
 RULES = SETS + """,
   sp AS (SELECT items, freq, support, unnest(range(1, (1<<len(items))-1)) AS m FROM sets WHERE len(items)>=2),
   sq AS (SELECT freq, support, list_filter(items, lambda x, i: ((m >> (i-1)) & 1)=1) AS ante,
@@ -229,7 +224,8 @@ HITS = "CAST(count(h.item_id) AS BIGINT) AS hits, count(*) AS users, " + r6("CAS
 
 
 def w(*parts: str) -> str:
-    return "WITH " + ",\n".join(parts[:-1]) + "\n" + parts[-1]
+    recursive = "RECURSIVE " if any("FROM sub s" in p for p in parts) else ""
+    return f"WITH {recursive}" + ",\n".join(parts[:-1]) + "\n" + parts[-1]
 
 
 PREDICT = user_sims("tr") + f""",

@@ -515,6 +515,12 @@ def item_clusters(spark, d):
     return cluster.item_clusters(T.vectors(spark, d), 10)
 
 
+@query
+def item_text_clusters(spark, d):
+    docs = T.spread(T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text"))
+    return cluster.text_clusters(docs, X.tokens(F.col("text")), 10, restarts=2)
+
+
 @query
 def cluster_sample_recs(spark, d):
     return cluster.cluster_sample_recs(_ratings(spark, d), T.clusters(spark, d), N)

@@ -30,6 +30,8 @@ def durable(df: DataFrame) -> DataFrame:
     where a plan grows with every iteration. The copy is columnar, so a reader
     takes only its columns, and its size is known to the join planner.
     """
-    path = f"{shared_folder(df.sparkSession)}/ratingloom/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    # one folder per application, to be deleted when the application is done
+    path = f"{shared_folder(spark)}/ratingloom/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -109,6 +109,9 @@ def test_user_clusters(random_ratings, vectors):
 
 def test_count_features(spark):
     docs = spark.createDataFrame([(1, "a a b"), (2, "a c"), (3, "a b")], "item_id bigint, text string")
-    model, out = cluster.count_features(docs, F.split("text", " "), 2)
-    assert model.vocabulary == ["a", "b"]
+    out = cluster.count_features(docs, F.split("text", " "), 2)
     assert [list(r["features"].toArray()) for r in out.orderBy("item_id").collect()] == [[2, 1], [1, 0], [1, 1]]
+    with pytest.raises(ValueError, match="3 tokens"):
+        cluster.count_features(docs, F.split("text", " "), 1, most=2)
+    groups = dict(rows(cluster.text_clusters(docs, F.split("text", " "), 3, 1, restarts=1), "item_id", "cluster"))
+    assert len(set(groups.values())) == 3
