@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ratingloom.functions.numeric import snap
 from ratingloom.sources.durable import durable
 
+STRETCH = 65_536  # positions of one user that one window group may hold
+
 
 def top_n(scored: DataFrame, n: int, by: list[Column] | None = None, entity: str = "user_id") -> DataFrame:
     """The n best rows of each entity with their rank.
@@ -55,35 +57,52 @@ def positions(df: DataFrame, order: list[Column], name: str = "pos") -> DataFram
     )
 
 
-def first_unseen(users: DataFrame, taken: DataFrame, size: int, n: int | Column) -> DataFrame:
-    """The first n free positions of 1..size for each user: ``(user_id, pos, nth)``.
+def free_ranges(users: DataFrame, taken: DataFrame, size: int) -> DataFrame:
+    """All free positions of 1..size of each user, as ranges.
 
-    ``taken`` holds ``(user_id, pos)``. The free positions lie in the gaps
-    between taken ones, so only gap ranges are generated: n rows per user and
-    never the product of users and items. ``n`` may be a column of ``users``.
+    ``taken`` holds ``(user_id, pos)``. A range ``(first_pos, last_pos)`` lies
+    between two taken positions; ``before`` counts the free positions before it.
+    A user has at most one range more than taken positions, so the result holds
+    the whole product of users and positions minus the taken ones in linear space.
+    Neighbouring positions are found within stretches of bounded length and
+    across stretches, so a user who took very many positions is several groups.
     """
-    wanted = n if isinstance(n, Column) else F.lit(n)
-    users = users.select("user_id", wanted.cast("bigint").alias("_n")).dropDuplicates(["user_id"])
-    edges = users.select("user_id", F.lit(0).cast("bigint").alias("pos")).unionByName(
+    edges = users.select("user_id", F.lit(0).cast("bigint").alias("pos")).distinct().unionByName(
         taken.select("user_id", "pos").distinct()
+    ).withColumn("stretch", F.floor(F.col("pos") / F.lit(STRETCH)))
+    within = W.partitionBy("user_id", "stretch").orderBy("pos")
+    stretches = edges.groupBy("user_id", "stretch").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
+    in_order = W.partitionBy("user_id").orderBy("stretch")
+    context = stretches.select(
+        "user_id",
+        "stretch",
+        F.coalesce(F.sum("n").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("earlier"),
+        F.lead("first", 1, size + 1).over(in_order).alias("next_first"),
+    )
+    linked = (
+        edges.withColumn("nth", F.row_number().over(within))
+        .withColumn("next_in", F.lead("pos").over(within))
+        .join(context, ["user_id", "stretch"])
     )
-    by_pos = W.partitionBy("user_id").orderBy("pos")
-    # free positions before `pos` = pos minus the taken ones up to it
-    gaps = edges.select(
+    # position 0 is an edge but not taken: free before a range = pos - taken up to pos
+    return linked.select(
         "user_id",
-        "pos",
-        (F.col("pos") - (F.row_number().over(by_pos) - 1)).alias("_free"),
-        F.lead("pos", 1, size + 1).over(by_pos).alias("_next"),
-    ).filter(F.col("_next") > F.col("pos") + 1)
-    ranges = gaps.join(users, "user_id").filter(F.col("_free") < F.col("_n"))
-    last = F.least(F.col("_next") - 1, F.col("pos") + F.col("_n") - F.col("_free"))
+        (F.col("pos") + 1).alias("first_pos"),
+        (F.coalesce("next_in", "next_first") - 1).cast("bigint").alias("last_pos"),
+        (F.col("pos") - (F.col("earlier") + F.col("nth") - 1)).cast("bigint").alias("before"),
+    ).filter(F.col("last_pos") >= F.col("first_pos"))
+
+
+def first_unseen(users: DataFrame, taken: DataFrame, size: int, n: int | Column) -> DataFrame:
+    """The first n free positions of 1..size for each user: ``(user_id, pos, nth)``.
+
+    Only positions of the free ranges are generated: n rows per user and never
+    the product of users and items. ``n`` may be a column of ``users``.
+    """
+    wanted = n if isinstance(n, Column) else F.lit(n)
+    users = users.select("user_id", wanted.cast("bigint").alias("_n")).distinct()
+    ranges = free_ranges(users, taken, size).join(users, "user_id").filter(F.col("before") < F.col("_n"))
+    last = F.least(F.col("last_pos"), F.col("first_pos") - 1 + F.col("_n") - F.col("before"))
     return ranges.select(
-        "user_id",
-        F.col("pos").alias("_start"),
-        "_free",
-        F.explode(F.sequence(F.col("pos") + 1, last)).alias("free_pos"),
-    ).select(
-        "user_id",
-        F.col("free_pos").alias("pos"),
-        (F.col("_free") + F.col("free_pos") - F.col("_start")).cast("bigint").alias("nth"),
-    )
+        "user_id", "first_pos", "before", F.explode(F.sequence(F.col("first_pos"), last)).alias("pos")
+    ).select("user_id", "pos", (F.col("before") + F.col("pos") - F.col("first_pos") + 1).alias("nth"))

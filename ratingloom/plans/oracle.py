@@ -260,10 +260,10 @@ def sql() -> dict[str, str]:
         EV, META, FIRST, "SELECT item_id, popularity FROM (SELECT DISTINCT item_id FROM ev) JOIN mf ON mf.id=item_id"
     )
     q["candidate_pairs"] = w(
-        RT,
-        "x AS (SELECT u.user_id, doc_id AS item_id FROM (SELECT DISTINCT user_id FROM rt) u CROSS JOIN documents ANTI JOIN rt ON rt.user_id=u.user_id AND rt.item_id=doc_id)",
-        "y AS (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY item_id) AS nth, count(*) OVER (PARTITION BY user_id) AS n_candidates FROM x)",
-        "SELECT user_id, item_id, nth, n_candidates FROM y WHERE nth<=20",
+        RT, "pl AS (SELECT doc_id AS item_id, row_number() OVER (ORDER BY doc_id) AS pos FROM documents)",
+        "x AS (SELECT u.user_id, pos FROM (SELECT DISTINCT user_id FROM rt) u CROSS JOIN pl ANTI JOIN rt ON rt.user_id=u.user_id AND rt.item_id=pl.item_id)",
+        "y AS (SELECT user_id, pos, pos - row_number() OVER (PARTITION BY user_id ORDER BY pos) AS island FROM x)",
+        "SELECT user_id, min(pos) AS first_pos, max(pos) AS last_pos, count(*) AS n_items FROM y GROUP BY user_id, island",
     )
     q["metadata_first"] = w(META, FIRST, "SELECT id, title, popularity, overview, tagline, genres FROM mf")
     q["user_rating_totals"] = w(PU, "SELECT user_id, sum(rating) AS rating_sum, count(*) AS n_ratings FROM pu GROUP BY 1")

@@ -178,14 +178,12 @@ def item_popularity(spark, d):
 
 @query
 def candidate_pairs(spark, d):
-    """Candidate items of every user in id order: the first 20 and their number."""
+    """All unrated items of every user, as ranges of places in item id order."""
     ratings = T.ratings(spark, d)
     placed = rank.positions(_all_items(spark, d), [F.col("item_id").asc()])
-    size = placed.count()
     taken = ratings.select("user_id", "item_id").join(placed, "item_id")
-    totals = taken.groupBy("user_id").agg((F.lit(size) - F.count("*")).cast("bigint").alias("n_candidates"))
-    free = rank.first_unseen(ratings.select("user_id"), taken, size, 20)
-    return free.join(placed, "pos").join(totals, "user_id").select("user_id", "item_id", "nth", "n_candidates")
+    ranges = rank.free_ranges(ratings.select("user_id"), taken, placed.count())
+    return ranges.select("user_id", "first_pos", "last_pos", (F.col("last_pos") - F.col("first_pos") + 1).alias("n_items"))
 
 
 # --- aggregations ---------------------------------------------------------------

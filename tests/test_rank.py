@@ -1,9 +1,11 @@
 import random
 
+import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
 from ratingloom.operators.lists import ranked_lists, walk_lists
+from ratingloom.operators import rank
 from ratingloom.operators.rank import first_unseen, positions, top_n
 
 
@@ -15,7 +17,9 @@ def test_positions_number_all_rows(spark):
     assert got == [(p + 1, v[0]) for p, v in enumerate(want)]
 
 
-def test_first_unseen_equals_brute_force(spark):
+@pytest.mark.parametrize("stretch", [7, 65536])
+def test_first_unseen_equals_brute_force(spark, stretch, monkeypatch):
+    monkeypatch.setattr(rank, "STRETCH", stretch)
     rng = random.Random(3)
     size, n = 40, 6
     taken = {u: set(rng.sample(range(1, size + 1), k)) for u, k in enumerate([0, 1, 5, 20, 37, 39, 40])}
@@ -27,6 +31,11 @@ def test_first_unseen_equals_brute_force(spark):
         free = [p for p in range(1, size + 1) if p not in ps][:n]
         want += [(u, p, k + 1) for k, p in enumerate(free)]
     assert rows(first_unseen(users, cells, size, n), "user_id", "pos", "nth") == sorted(want)
+    covered = {u: [] for u in taken}
+    for r in rank.free_ranges(users, cells, size).orderBy("user_id", "first_pos").collect():
+        assert r["before"] == len(covered[r["user_id"]])
+        covered[r["user_id"]] += range(r["first_pos"], r["last_pos"] + 1)
+    assert covered == {u: [p for p in range(1, size + 1) if p not in ps] for u, ps in taken.items()}
 
 
 def test_top_n_breaks_ties_by_item(spark):
