@@ -40,8 +40,8 @@ def positions(df: DataFrame, order: list[Column], name: str = "pos") -> DataFram
     table-wide window runs over one row per partition.
     """
     spark = df.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, 1)
-    # a checkpoint keeps the partition id with its rows: a rerun cannot re-split
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # written with its partition id: a rerun of a task cannot split the rows anew
     spread = durable(
         df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
     )

@@ -73,6 +73,22 @@ def nearest_between(queries: DataFrame, pool: DataFrame, key: str, ident: str, v
     return _rank_neighbors(found, n)
 
 
+def similar_pairs(df: DataFrame, key: str, ident: str, value: str, at_least: float, metric: str = "cosine") -> DataFrame:
+    """Every ordered pair of ids whose similarity reaches ``at_least``.
+
+    The result is as large as the caller asks for: a bound of 0 is the whole
+    matrix. The work and the shuffles do not depend on the bound.
+    """
+
+    def finish(block: Block) -> pd.DataFrame:
+        sim = np.floor(similarity_of(block, metric) * 1e6 + 0.5) / 1e6
+        r, c = np.nonzero((sim >= at_least) & (block.left[:, None] != block.right))
+        return pd.DataFrame({"id": block.left[r], "other_id": block.right[c], "similarity": sim[r, c]})
+
+    s = side(df, key, ident, value)
+    return block_product(s, s, finish, NEIGHBOR, symmetric=True)
+
+
 def similarity_summary(df: DataFrame, key: str, ident: str, value: str, metric: str = "cosine") -> DataFrame:
     """The row sums of the full similarity matrix, without writing the matrix.
 

@@ -324,6 +324,12 @@ def sql() -> dict[str, str]:
     summary = "count(*) FILTER (WHERE s>0) AS n_similar, " + r6("sum(s)") + " AS sim_sum, " + r6("max(s)") + " AS sim_max"
     q["user_cosine"] = w(RT, user_sims("rt"), f"SELECT u AS user_id, {summary} FROM us GROUP BY 1")
     q["item_cosine"] = w(BOW, ITEM_SIM, f"SELECT i AS item_id, {summary} FROM isim GROUP BY 1")
+    q["similar_user_pairs"] = w(
+        RT, user_sims("rt"), f"SELECT u AS user_id, v AS neighbor_id, {r6('s')} AS similarity FROM us WHERE {r6('s')}>=0.45::DOUBLE"
+    )
+    q["similar_item_pairs"] = w(
+        BOW, ITEM_SIM, f"SELECT i AS item_id, j AS similar_id, {r6('s')} AS similarity FROM isim WHERE {r6('s')}>=0.8::DOUBLE"
+    )
     for name, metric in (("user_neighbors", "cosine"), ("user_euclidean", "euclidean")):
         q[name] = w(
             RT, user_sims("rt", metric), f"x AS (SELECT u AS user_id, v AS neighbor_id, {r6('s')} AS similarity FROM us)",

@@ -351,6 +351,18 @@ def item_cosine(spark, d):
     return s.withColumnRenamed("id", "item_id")
 
 
+@query
+def similar_user_pairs(spark, d):
+    found = similarity.similar_pairs(_ratings(spark, d), "item_id", "user_id", "rating", 0.45)
+    return found.select(F.col("id").alias("user_id"), F.col("other_id").alias("neighbor_id"), "similarity")
+
+
+@query
+def similar_item_pairs(spark, d):
+    found = similarity.similar_pairs(_bow(spark, d), "token", "item_id", "cnt", 0.8)
+    return found.select(F.col("id").alias("item_id"), F.col("other_id").alias("similar_id"), "similarity")
+
+
 def _neighbors(spark, d, metric):
     found = similarity.nearest(_ratings(spark, d), "item_id", "user_id", "rating", N, metric)
     return found.select(F.col("id").alias("user_id"), F.col("other_id").alias("neighbor_id"), "similarity", "rank")
