@@ -320,6 +320,7 @@ def sql() -> dict[str, str]:
         f"""SELECT mg.id, mg.title, concat_ws(' ', ovs.overview, tgs.tagline, kws.keywords, {elements('mg.cast_list')}, {elements('mg.genres')}) AS combined
           FROM mg LEFT JOIN ovs USING (id) LEFT JOIN tgs USING (id) LEFT JOIN kws USING (id)""",
     )
+    q["feature_sink"] = q["combined_features"]
     q["bag_of_words"] = w(BOW, "SELECT item_id AS doc_id, token, cnt FROM bow")
     summary = "count(*) FILTER (WHERE s>0) AS n_similar, " + r6("sum(s)") + " AS sim_sum, " + r6("max(s)") + " AS sim_max"
     q["user_cosine"] = w(RT, user_sims("rt"), f"SELECT u AS user_id, {summary} FROM us GROUP BY 1")

@@ -85,7 +85,7 @@ def feature_sink(spark, d):
     merged = features.merge_metadata(*[T.raw_metadata(spark, d)[k] for k in ("meta", "keywords", "credits")])
     sinks.save_features(features.combined_features(merged), path)
     sinks.save_features(merged.limit(0), path)
-    return sinks.load_features(spark, path)
+    return sinks.load_features(spark, path).select("id", "title", "combined")
 
 
 @query
