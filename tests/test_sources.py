@@ -65,3 +65,19 @@ def test_popularity_guard(spark):
     assert rows(item_popularity(items, meta), "item_id", "popularity") == [(1, 4.0)]
     with pytest.raises(Exception, match="no popularity for item"):
         item_popularity(items.union(spark.createDataFrame([(9,)], "item_id bigint")), meta).collect()
+
+
+def test_views_and_build_once(spark, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "four.parquet"))
+    readers.register_tables(spark, str(tmp_path), ["four"])
+    assert spark.sql("SELECT count(*) AS c FROM four").first()["c"] == 4
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(6)
+
+    path = str(tmp_path / "clean")
+    assert sinks.build_once(spark, path, build).count() == 6
+    assert sinks.build_once(spark, path, build).count() == 6
+    assert len(calls) == 1
