@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import byte_bpe
+from ratingloom.llm import byte_bpe, language_id
 from ratingloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,8 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op5_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return byte_bpe.digests(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return language_id.identify(table(spark, d, "documents"))
