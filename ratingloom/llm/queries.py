@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import byte_bpe, language_id
+from ratingloom.llm import byte_bpe, language_id, license_scan
 from ratingloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,11 @@ def op5_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     return language_id.identify(table(spark, d, "documents"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan.report(table(spark, d, "documents"))
+
+
+SQL["op2_license_scan"] = license_scan.sql()
