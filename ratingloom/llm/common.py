@@ -42,3 +42,26 @@ def lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     np.cumsum([len(v) for v in values], out=ends[1:])
     flat = np.concatenate(values) if values else np.empty(0, kind.to_pandas_dtype())
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
+
+
+def groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """Rows with equal first ``n_keys`` columns, as they come in sorted order, across batches."""
+    kept: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys = [b.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)]
+        change = np.zeros(b.num_rows, bool)
+        for k in keys:
+            change[1:] |= k[1:] != k[:-1]
+        starts = [0, *np.flatnonzero(change).tolist(), b.num_rows]
+        for a, e in zip(starts, starts[1:], strict=False):
+            key = tuple(k[a] for k in keys)
+            if kept and key != last:
+                yield pa.Table.from_batches(kept)
+                kept = []
+            last = key
+            kept.append(b.slice(a, e - a))
+    if kept:
+        yield pa.Table.from_batches(kept)
