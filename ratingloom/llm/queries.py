@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import byte_bpe, language_id, license_scan, minhash
+from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash
 from ratingloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,8 @@ SQL["op2_license_scan"] = license_scan.sql()
 @query
 def op3_minhash(spark: SparkSession, d: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, d, "documents"), percent=85)
+
+
+@query
+def op8_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"))
