@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash
+from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, personal_data
 from ratingloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def op3_minhash(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op8_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op10_personal_data(spark: SparkSession, d: str) -> DataFrame:
+    return personal_data.report(table(spark, d, "documents"))
