@@ -10,8 +10,9 @@ Links are confirmed on the full sets in two rounds that together leave no candid
 
 1. every class with the smallest id of each of its buckets (one pair for each row);
 2. in buckets that still hold more than one component, all pairs from different components,
-   compared in blocks of bounded size; only pairs whose estimate is not more than
-   ``MARGIN`` below the bound go on to the confirmation.
+   compared in blocks of bounded size without writing them out: the estimate may be at most
+   ``MARGIN`` below the bound, then short hashes of the full sets are counted. Only the
+   best of a text's pairs with another component goes on, and those too near the bound to tell.
 
 A link within a component that is already found cannot change the result and is not looked
 for. At the bound of 0.85, a pair shares no bucket with probability (1 - 0.85**5)**25 < 1e-6,
@@ -159,30 +160,63 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def _cross_pairs(members: DataFrame, least: float) -> DataFrame:
-    """Pairs of different components within a bucket's pair of blocks, by estimate."""
+def _short_sets(docs: DataFrame) -> DataFrame:
+    """(rep, shingles): sorted 32-bit hashes of each text's shingles. Two of them share at least
+    what the sets share, so they rule out pairs without error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.unique((shingle_set(t) >> U64(32)).astype(np.uint32)).view(np.int32) for t in raw_bytes(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), lists(sets, pa.int32())], ["rep", "shingles"])
+
+    return docs.mapInArrow(run, "rep bigint, shingles array<int>")
+
+
+def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components within a bucket's pair of blocks that the estimate and the
+    short sets allow: for each text and other component the most similar one, and every one
+    so near the bound that a chance agreement of two hashes could decide."""
+    least = percent / 100 - MARGIN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in groups(batches, 3):
             ids, label, block = (g.column(c).to_numpy() for c in ("rep", "component", "block"))
             if (label == label[0]).all():
                 continue
-            sign = g.column("packed").combine_chunks()
-            sign = sign.flatten().to_numpy().reshape(len(ids), -1)
+            sign = g.column("packed").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+            column = g.column("shingles").combine_chunks()
+            flat, ends = column.flatten().to_numpy().view(np.uint32), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+            size = np.diff(ends)
             i, j = g.column("i")[0].as_py(), g.column("j")[0].as_py()
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-            for a in range(0, len(left), 256):  # rows of a block against the other block
-                rows = left[a : a + 256]
-                x, y = np.nonzero((estimate(sign[rows], sign[right]) >= least) & (label[rows][:, None] != label[right]))
-                x, y = rows[x], right[y]
-                if i == j:
-                    x, y = x[x < y], y[x < y]
-                one, two = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
-                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], ["a", "b"])
+            likely = estimate(sign[left], sign[right]) >= least
+            likely &= label[left][:, None] != label[right]
+            likely &= 100 * np.minimum(size[left][:, None], size[right]) >= percent * np.maximum(size[left][:, None], size[right]) - 200
+            if i == j:
+                likely &= ids[left][:, None] < ids[right]
+            out = []
+            for row in np.flatnonzero(likely.any(1)):
+                x, others = left[row], right[likely[row]]
+                own = flat[ends[x] : ends[x + 1]]
+                each = np.concatenate([flat[ends[y] : ends[y + 1]] for y in others])
+                same = own[np.minimum(np.searchsorted(own, each), len(own) - 1)] == each
+                shared = np.add.reduceat(same, np.concatenate([[0], np.cumsum(size[others])[:-1]]), dtype=np.int64)
+                over = 100 * shared - percent * (size[x] + size[others] - shared)
+                best: dict[int, int] = {}
+                for k in np.flatnonzero(over >= -200):  # a short set may lack an element or two
+                    c = int(label[others[k]])
+                    if over[k] <= 600:
+                        out.append((ids[x], ids[others[k]]))
+                    elif c not in best or over[k] > over[best[c]]:
+                        best[c] = k
+                out += [(ids[x], ids[others[k]]) for k in best.values()]
+            if out:
+                pairs = np.sort(np.array(out, np.int64), 1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     n = F.col("blocks")
     copies = members.withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select(
-        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "component", "block", "packed"
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "component", "block", "packed", "shingles"
     )
     keys = ["bucket", "i", "j"]
     dealt = copies.repartition(*keys).sortWithinPartitions(*keys)
@@ -204,7 +238,6 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     )
     shared = durable(entries.join(buckets, "bucket"))
     packs = own.select("rep", "packed")
-    least = percent / 100 - MARGIN
 
     stars = shared.filter("rep <> centre").select("centre", "rep").distinct()
     stars = stars.join(packs.toDF("centre", "pack_c"), "centre").join(packs, "rep")
@@ -212,18 +245,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         F.bit_count(_fold(F.col("pack_c")[k].bitwiseXOR(F.col("packed")[k]))) for k in range(MINIMA * BITS // 64)
     )
     chance = 2.0**-BITS
-    likely = ((F.lit(1.0) - agree / MINIMA) - chance) / (1 - chance) >= least
+    likely = ((F.lit(1.0) - agree / MINIMA) - chance) / (1 - chance) >= percent / 100 - MARGIN
     first = durable(confirm(durable(stars.filter(likely).select(F.col("centre").alias("a"), F.col("rep").alias("b"))), docs, percent))
     found = durable(components(first))
 
     labelled = shared.join(found.toDF("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     labelled = durable(labelled.select("bucket", "rep", "component", "n"))
     open_ = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    members = labelled.join(open_, "bucket").join(packs, "rep")
+    members = durable(labelled.join(open_, "bucket"))
+    text = id_and_text(docs).toDF("rep", "text").join(members.select("rep").distinct(), "rep", "left_semi")
+    members = members.join(packs, "rep").join(_short_sets(text), "rep")
     members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     )
-    second = durable(confirm(durable(_cross_pairs(members, least)), docs, percent))
+    second = durable(confirm(durable(_cross_pairs(members, percent)), docs, percent))
     final = durable(components(first.union(second)))
 
     named = classes.join(final.toDF("rep", "component"), "rep", "left").select(
