@@ -180,7 +180,7 @@ def decode(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     return ids.mapInArrow(run, "doc_id bigint, token_ids array<int>, decoded binary")
 
 
-def digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+def digests(docs: DataFrame, ranks: bytes, pattern: str, with_ids: bool = False) -> DataFrame:
     """Counts and hashes of each document's ids and of the bytes decoded from them."""
     both = decode(encode(docs, ranks, pattern), ranks, pattern)
     return both.select(
@@ -188,4 +188,5 @@ def digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
         F.size("token_ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["token_ids"] if with_ids else []),
     )

@@ -21,9 +21,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ratingloom.llm.common import raw_bytes
 
@@ -209,6 +210,32 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     return Model(langs, [Tree(gram[lang == x], n[lang == x]) for x in langs])
 
 
+def _judge(m: Model, data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score and bits per byte of each text."""
+    lettered = np.array([bool(LETTER.search(t.decode())) for t in data], bool)
+    names, score, rate = np.full(len(data), UNKNOWN, object), np.zeros(len(data)), np.zeros(len(data))
+    rows = np.flatnonzero(lettered)
+    if len(rows) and m.langs:
+        bits = m.total_bits([data[i] for i in rows])
+        least = bits.min(1)
+        names[rows] = np.array(m.langs, object)[bits.argmin(1)]
+        score[rows] = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1)
+        rate[rows] = least / np.array([len(data[i]) for i in rows])
+    return names, score, rate
+
+
+def language_of(text: Column, model: Model, spark: SparkSession) -> Column:
+    """struct(lang, score) as a column expression, for rows whose other columns stay."""
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang string, score double")
+    def judge(texts: pd.Series) -> pd.DataFrame:
+        names, score, _ = _judge(sent.value, [(t or "").encode() for t in texts])
+        return pd.DataFrame({"lang": names, "score": score})
+
+    return judge(text)
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score, bits_per_byte) for every row of ``docs`` (doc_id, text).
 
@@ -217,18 +244,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
         for b in batches:
-            data = list(raw_bytes(b.column(1)))
-            lettered = np.array([bool(LETTER.search(t.decode())) for t in data], bool)
-            names, score, rate = np.full(len(data), UNKNOWN, object), np.zeros(len(data)), np.zeros(len(data))
-            rows = np.flatnonzero(lettered)
-            if len(rows) and m.langs:
-                bits = m.total_bits([data[i] for i in rows])
-                least = bits.min(1)
-                names[rows] = np.array(m.langs, object)[bits.argmin(1)]
-                score[rows] = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1)
-                rate[rows] = least / np.array([len(data[i]) for i in rows])
+            names, score, rate = _judge(sent.value, list(raw_bytes(b.column(1))))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(rate)],
                 ["doc_id", "lang_pred", "score", "bits_per_byte"],

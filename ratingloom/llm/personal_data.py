@@ -22,8 +22,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratingloom.llm.common import id_and_text
 
@@ -335,22 +336,40 @@ def _overlaps(span: Span, others: list[Span]) -> bool:
     return any(span[1] < e and a < span[2] for _, a, e in others)
 
 
+def _all_spans(network: Network | None, texts: list[str]) -> list[list[tuple[str, int, int, bool]]]:
+    """Spans of the rules, and those of the network that meet none of them."""
+    base = [rule_spans(t) for t in texts]
+    added = network_spans(network, texts) if network else [[] for _ in texts]
+    out = []
+    for own, more in zip(base, added, strict=True):
+        every = [(*s, True) for s in own] + [(*s, False) for s in more if not _overlaps(s, own)]
+        out.append(sorted(every, key=lambda s: (s[1], KINDS.index(s[0]))))
+    return out
+
+
+def without_spans(text: Column, network: Network | None, spark: SparkSession) -> Column:
+    """The text with its spans masked, as a column expression; null stays null."""
+    sent = spark.sparkContext.broadcast(network)
+
+    @F.pandas_udf("string")
+    def mask(texts: pd.Series) -> pd.Series:
+        whole = [t or "" for t in texts]
+        spans = _all_spans(sent.value, whole)
+        out = [masked(t, [s[:3] for s in found]) for t, found in zip(whole, spans, strict=True)]
+        return pd.Series([None if t is None else o for t, o in zip(texts, out, strict=True)], dtype=object)
+
+    return mask(text)
+
+
 def find(docs: DataFrame, network: Network | None) -> DataFrame:
     """(doc_id, text, spans) for every row; spans by start, then kind; ``base`` marks those of the rules."""
     sent = docs.sparkSession.sparkContext.broadcast(network)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = sent.value
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            base = [rule_spans(t) for t in texts]
-            added = network_spans(net, texts) if net else [[] for _ in texts]
-            rows = []
-            for own, more in zip(base, added, strict=True):
-                every = [(*s, True) for s in own] + [(*s, False) for s in more if not _overlaps(s, own)]
-                every.sort(key=lambda s: (s[1], KINDS.index(s[0])))
-                rows.append([dict(zip(("kind", "start", "end", "base"), s, strict=True)) for s in every])
+            every = _all_spans(sent.value, [t or "" for t in b.column(1).to_pylist()])
+            rows = [[dict(zip(("kind", "start", "end", "base"), s, strict=True)) for s in spans] for spans in every]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(rows, kind)], ["doc_id", "text", "spans"])
 
     schema = "doc_id bigint, text string, spans array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"
