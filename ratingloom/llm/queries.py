@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, personal_data
+from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, personal_data, vectors
 from ratingloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op8_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op10_personal_data(spark: SparkSession, d: str) -> DataFrame:
     return personal_data.report(table(spark, d, "documents"))
+
+
+@query
+def op9_vector_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, d, "embeddings"), least=0.95)
