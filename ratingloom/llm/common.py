@@ -65,3 +65,12 @@ def groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]
             kept.append(b.slice(a, e - a))
     if kept:
         yield pa.Table.from_batches(kept)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    It deletes them when the driver's collector drops what refers to them, which can take
+    half an hour, so large steps that follow each other would hold all their files at once.
+    """
+    spark.sparkContext._jvm.System.gc()

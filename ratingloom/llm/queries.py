@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, personal_data, vectors
+from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, personal_data, substring_dedup, vectors
 from ratingloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op10_personal_data(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_vector_dedup(spark: SparkSession, d: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, d, "embeddings"), least=0.95)
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, d, "documents"))
