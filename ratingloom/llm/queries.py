@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, personal_data, substring_dedup, suffix_dedup, vectors
+from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, personal_data, preferences, substring_dedup, suffix_dedup, vectors
 from ratingloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,11 @@ def op7_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op1_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, d, "documents"))
+
+
+@query
+def op6_preferences(spark: SparkSession, d: str) -> DataFrame:
+    return preferences.neighbour_pairs(table(spark, d, "conversations"))
+
+
+SQL["op6_preferences"] = preferences.SQL
