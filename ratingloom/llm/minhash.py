@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ratingloom.llm.common import groups, id_and_text, lists, raw_bytes
+from ratingloom.llm.common import groups, id_and_text, lists, raw_bytes, release
 from ratingloom.llm.components import components
 from ratingloom.llm.hashing import U64, mix, shingle_hashes, word_hashes
 from ratingloom.sources.durable import durable
@@ -123,12 +123,9 @@ def _full_set(text: bytes) -> frozenset:
     return frozenset(zip(*(words[i:] for i in range(WIDTH)), strict=False))
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets have 100 * intersection >= percent * union."""
-    text = id_and_text(docs)
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    text = durable(text.join(wanted, "doc_id", "left_semi"))
-    both = pairs.join(text.toDF("b", "text_b"), "b").join(text.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose full sets have 100 * intersection >= percent * union. ``texts`` is (doc_id, text)."""
+    both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: OrderedDict[bytes, frozenset] = OrderedDict()
@@ -160,7 +157,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def _short_sets(docs: DataFrame) -> DataFrame:
+def _short_sets(texts: DataFrame) -> DataFrame:
     """(rep, shingles): sorted 32-bit hashes of each text's shingles. Two of them share at least
     what the sets share, so they rule out pairs without error."""
 
@@ -169,7 +166,7 @@ def _short_sets(docs: DataFrame) -> DataFrame:
             sets = [np.unique((shingle_set(t) >> U64(32)).astype(np.uint32)).view(np.int32) for t in raw_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), lists(sets, pa.int32())], ["rep", "shingles"])
 
-    return docs.mapInArrow(run, "rep bigint, shingles array<int>")
+    return texts.mapInArrow(run, "rep bigint, shingles array<int>")
 
 
 def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -238,6 +235,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     )
     shared = durable(entries.join(buckets, "bucket"))
     packs = own.select("rep", "packed")
+    # the texts of classes that share a bucket. The ids grow with the corpus, so they are merged at every size, never sent to all
+    candidates = shared.select(F.col("rep").alias("doc_id")).distinct()
+    texts = durable(id_and_text(docs).join(candidates.hint("merge"), "doc_id", "left_semi"))
+    release(docs.sparkSession)
 
     stars = shared.filter("rep <> centre").select("centre", "rep").distinct()
     stars = stars.join(packs.toDF("centre", "pack_c"), "centre").join(packs, "rep")
@@ -246,19 +247,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     )
     chance = 2.0**-BITS
     likely = ((F.lit(1.0) - agree / MINIMA) - chance) / (1 - chance) >= percent / 100 - MARGIN
-    first = durable(confirm(durable(stars.filter(likely).select(F.col("centre").alias("a"), F.col("rep").alias("b"))), docs, percent))
+    first = durable(confirm(durable(stars.filter(likely).select(F.col("centre").alias("a"), F.col("rep").alias("b"))), texts, percent))
     found = durable(components(first))
 
     labelled = shared.join(found.toDF("rep", "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     labelled = durable(labelled.select("bucket", "rep", "component", "n"))
     open_ = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
     members = durable(labelled.join(open_, "bucket"))
-    text = id_and_text(docs).toDF("rep", "text").join(members.select("rep").distinct(), "rep", "left_semi")
-    members = members.join(packs, "rep").join(_short_sets(text), "rep")
+    asked = texts.toDF("rep", "text").join(members.select("rep").distinct().hint("merge"), "rep", "left_semi")
+    members = members.join(packs, "rep").join(_short_sets(asked), "rep")
     members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     )
-    second = durable(confirm(durable(_cross_pairs(members, percent)), docs, percent))
+    pairs = durable(_cross_pairs(members, percent))
+    release(docs.sparkSession)
+    second = durable(confirm(pairs, texts, percent))
     final = durable(components(first.union(second)))
 
     named = classes.join(final.toDF("rep", "component"), "rep", "left").select(
