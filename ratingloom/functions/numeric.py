@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 # Scores are published and ranked on this grid, so that the order in which a
@@ -22,6 +24,14 @@ MODULUS = 2147483647
 MULTIPLIER = 48271
 
 
+def next_prime(n: int) -> int:
+    """The least prime that is not below ``n``."""
+    p = max(2, n)
+    while any(p % d == 0 for d in range(2, math.isqrt(p) + 1)):
+        p += 1
+    return p
+
+
 def seeded_hash(user: Column, item: Column, seed: Column | int) -> Column:
     """A bigint in [0, 2^31-1) that depends on the two ids and the seed only.
 

@@ -2,41 +2,38 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from ratingloom.functions.numeric import MODULUS, seeded_hash, snap
+from ratingloom.functions.numeric import MODULUS, next_prime, seeded_hash, snap
 from ratingloom.operators.blocks import Block, Side, block_product
 from ratingloom.operators.lists import ranked_lists, walk_lists
 from ratingloom.operators.rank import exclude_seen, top_n
 from ratingloom.sources.durable import durable
 from ratingloom.sources.readers import first_values
 
-# Primes larger than any cluster, so each is a step that visits a
-# whole ring of items once.
-STRIDES = (1299709039, 1500450271, 1618033999, 1800000011)
+TASKS = 8  # partitions of an iterative fit; part of the model, as sums of doubles depend on them
+
 
-ROWS_PER_TASK = 5_000  # of an iterative fit on small data; large data uses all tasks
+def training_rows(df: DataFrame, *key: str) -> DataFrame:
+    """Rows for an iterative fit, dealt by their key and sorted, so that neither the
+    size of the cluster nor the order of arrival changes the model."""
+    return df.repartition(TASKS, *key).sortWithinPartitions(*key)
 
 
-def training_rows(df: DataFrame) -> DataFrame:
-    """Rows for an iterative fit, spread evenly over the tasks of every pass."""
-    spark = df.sparkSession
-    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    tasks = max(1, min(most, math.ceil(df.count() / ROWS_PER_TASK)))
-    return df.repartition(tasks)
+@F.pandas_udf(T.LongType())
+def _next_prime(sizes: pd.Series) -> pd.Series:
+    return sizes.map(next_prime)
 
 
 def fit_kmeans(points: DataFrame, k: int, restarts: int = 10, max_iter: int = 500, seed: int = 0) -> KMeansModel:
-    """K-means on a ``features`` vector column; the cheapest of several starts."""
-    data = training_rows(points.select("features")).persist()
+    """K-means on a ``features`` vector column beside an id, the first column; the cheapest of several starts."""
+    data = training_rows(points, points.columns[0]).select("features").persist()
     try:
         models = [KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(data) for i in range(restarts)]
     finally:
@@ -146,25 +143,26 @@ def cluster_sample_runs(ratings: DataFrame, clusters: DataFrame, runs: DataFrame
         ["item_id"],
     )
     sizes = ring.groupBy("list_id").agg(F.max("pos").alias("m"))
-    m, need = F.col("m"), F.least(F.col("m"), F.lit(n) + F.col("rated"))
-    stride = F.element_at(
-        F.array(*[F.lit(s) for s in STRIDES]),
-        (F.pmod(seeded_hash(F.col("list_id"), F.col("user_id"), F.col("seed") + 1), F.lit(len(STRIDES))) + 1).cast("int"),
-    )
-    uniform = (
-        seeded_hash(F.col("user_id") * F.lit(4096) + F.col("list_id"), F.col("step"), F.col("seed") + 3) + F.lit(0.5)
-    ) / F.lit(float(MODULUS))
+    # one row for each cluster: a walk goes around a ring of prime size and passes over places without an item
+    sizes = durable(sizes.withColumn("p_size", _next_prime("m")))
+    m, ring_size = F.col("m"), F.col("p_size")
+    need = F.least(ring_size, F.lit(n) + F.col("rated") + ring_size - m)
+    pair = seeded_hash(F.col("user_id"), F.col("list_id"), 5)
+    stride = F.pmod(seeded_hash(F.col("list_id"), F.col("user_id"), F.col("seed") + 1), ring_size - 1) + 1
+    uniform = (seeded_hash(pair, F.col("nth"), F.col("seed") + 3) + F.lit(0.5)) / F.lit(float(MODULUS))
     arrivals = (
         cluster_probabilities(ratings, clusters)
         .select("user_id", F.col("cluster").alias("list_id"), "rated", F.col(probability).alias("p"))
         .filter(F.col("p") > 0)
         .join(seeds, "user_id")
         .join(sizes, "list_id")
-        .withColumn("offset", F.pmod(seeded_hash(F.col("user_id"), F.col("list_id"), F.col("seed")), m))
-        .withColumn("stride", stride.cast("bigint"))
+        .withColumn("offset", F.pmod(seeded_hash(F.col("user_id"), F.col("list_id"), F.col("seed")), ring_size))
+        .withColumn("stride", stride)
         .withColumn("step", F.explode(F.sequence(F.lit(0).cast("bigint"), need - 1)))
-        .withColumn("wait", -F.log(uniform) * m / ((m - F.col("step")) * F.col("p")))
-        .withColumn("pos", F.pmod(F.col("offset") + F.col("step") * F.pmod(F.col("stride"), m), m) + 1)
+        .withColumn("pos", F.pmod(F.col("offset") + F.col("step") * F.col("stride"), ring_size) + 1)
+        .filter(F.col("pos") <= m)
+        .withColumn("nth", F.row_number().over(W.partitionBy("user_id", "seed", "list_id").orderBy("step")) - 1)
+        .withColumn("wait", -F.log(uniform) * m / ((m - F.col("nth")) * F.col("p")))
     )
     so_far = W.partitionBy("user_id", "seed", "list_id").orderBy("step").rowsBetween(W.unboundedPreceding, 0)
     timed = arrivals.withColumn("time", F.sum("wait").over(so_far)).join(ring, ["list_id", "pos"])

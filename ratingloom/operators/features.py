@@ -12,10 +12,14 @@ FEATURES = ["overview", "tagline", "keywords", "cast", "genres"]
 
 
 def merge_metadata(meta: DataFrame, keywords: DataFrame, credits: DataFrame) -> DataFrame:
-    """One row per digit-only id: first non-null values, then a full outer join."""
-    columns = ["title", "popularity", "overview", "tagline", "genres"]
-    described = first_values(clean_ids(meta), "id", F.col("ord"), columns)
-    return outer_join_all([described, clean_ids(keywords), clean_ids(credits)])
+    """One row per digit-only id: the first non-null value of every column of each frame, in
+    the order of its ``ord``, then a full outer join."""
+    frames = [
+        (meta, ("title", "popularity", "overview", "tagline", "genres")),
+        (keywords, ("keywords",)),
+        (credits, ("cast",)),
+    ]
+    return outer_join_all([first_values(clean_ids(f), "id", F.col("ord"), list(c)) for f, c in frames])
 
 
 def key_words(df: DataFrame, ident: str, text: Column, n: int) -> DataFrame:

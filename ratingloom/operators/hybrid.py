@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ratingloom.functions.numeric import snap
 from ratingloom.operators.rank import top_n
@@ -34,8 +34,8 @@ def predicate_hybrid(methods: dict[str, DataFrame], route: Column, n: int) -> Da
     """
     lists = union_methods(methods).filter(F.col("method_no") == route)
     # places after filtering; a list is at most as long as the method's top list
-    by_list = lists.withColumn("_list", F.struct("user_id", "method_no"))
-    replaced = top_n(by_list, 2**31 - 1, [F.col("rank").asc()], "_list")
+    place = F.row_number().over(W.partitionBy("user_id", "method_no").orderBy("rank"))
+    replaced = lists.withColumn("rank", place.cast("bigint"))
     first = replaced.groupBy("user_id", "item_id").agg(F.min(F.struct("rank", "method_no")).alias("p"))
     order = [F.col("p.rank").asc(), F.col("p.method_no").asc()]
     return top_n(first, n, order).select(

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from ratingloom.functions.numeric import ITEM_STEP, MODULUS, MULTIPLIER, USER_STEP
 from ratingloom.functions.text import NO_OVERVIEW, PUNCTUATION, STOPWORDS, TOKEN, WORD
-from ratingloom.operators.cluster import STRIDES
 
 PUNCT = PUNCTUATION.replace("'", "''")
 
@@ -33,8 +32,8 @@ RT = EV + """, rt AS (SELECT user_id, item_id, arg_max(rating,(ts,event_id)) AS
   arg_max(event_id,(ts,event_id)) AS event_id FROM ev GROUP BY 1,2)"""
 PU = """pu AS (SELECT o_custkey AS user_id, l_partkey AS item_id, max(CAST(ceil(l_quantity/5.0)*0.5 AS DOUBLE)) AS rating
   FROM orders JOIN lineitem ON o_orderkey=l_orderkey GROUP BY 1,2)"""
-IT = """it AS (SELECT doc_id AS item_id, p_name AS title, CAST(p_size AS DOUBLE) AS popularity, p_retailprice AS price,
-  p_brand AS brand, p_type AS type, text, lang, source FROM documents JOIN part ON doc_id=p_partkey)"""
+IT = """it AS (SELECT coalesce(doc_id, p_partkey) AS item_id, p_name AS title, CAST(p_size AS DOUBLE) AS popularity, p_retailprice AS price,
+  p_brand AS brand, p_type AS type, text, lang, source FROM documents FULL JOIN part ON doc_id=p_partkey)"""
 CL = """cl AS (SELECT vec_id AS item_id, CAST(label AS BIGINT) AS cluster, CAST(p_size AS DOUBLE) AS popularity
   FROM embeddings JOIN part ON vec_id=p_partkey)"""
 META = f"""full_meta AS (SELECT CASE WHEN p_brand='Brand#13' THEN concat('1997-08-', lpad(CAST(p_size AS VARCHAR),2,'0'))
@@ -51,6 +50,10 @@ META = f"""full_meta AS (SELECT CASE WHEN p_brand='Brand#13' THEN concat('1997-0
   cr_raw AS (SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN n_chars<100 THEN '[]' ELSE
     concat('[{{''cast_id'': 1, ''name'': "O''', source, ' Senior"}}, {{''cast_id'': None, ''name'': ''Lang ', lang, '''}}]') END AS cast_list
     FROM documents),
+  kw_rep AS (SELECT CAST(id AS BIGINT) AS id, CAST(id AS BIGINT)*2+1 AS ord, keywords FROM kw_raw UNION ALL
+    SELECT vec_id, vec_id*2, CASE WHEN vec_id%2=0 THEN '[{{''id'': 1, ''name'': ''Early''}}]' END FROM embeddings WHERE vec_id%5=0),
+  cr_rep AS (SELECT CAST(id AS BIGINT) AS id, CAST(id AS BIGINT)*2+1 AS ord, cast_list FROM cr_raw UNION ALL
+    SELECT doc_id, doc_id*2, CASE WHEN doc_id%2=0 THEN '[]' END FROM documents WHERE doc_id%7=0),
   meta AS (SELECT CAST(id AS BIGINT) AS id, ord, title, popularity, overview, tagline, genres FROM meta_raw WHERE regexp_full_match(id,'[0-9]+')),
   kw AS (SELECT CAST(id AS BIGINT) AS id, keywords FROM kw_raw),
   cr AS (SELECT CAST(id AS BIGINT) AS id, cast_list FROM cr_raw)"""
@@ -58,7 +61,9 @@ FIRST = """mf AS (SELECT id, arg_min(title,ord) FILTER (WHERE title IS NOT NULL)
   arg_min(popularity,ord) FILTER (WHERE popularity IS NOT NULL) AS popularity,
   arg_min(overview,ord) FILTER (WHERE overview IS NOT NULL) AS overview,
   arg_min(tagline,ord) FILTER (WHERE tagline IS NOT NULL) AS tagline,
-  arg_min(genres,ord) FILTER (WHERE genres IS NOT NULL) AS genres FROM meta GROUP BY id)"""
+  arg_min(genres,ord) FILTER (WHERE genres IS NOT NULL) AS genres FROM meta GROUP BY id),
+  kwf AS (SELECT id, arg_min(keywords,ord) FILTER (WHERE keywords IS NOT NULL) AS keywords FROM kw_rep GROUP BY id),
+  crf AS (SELECT id, arg_min(cast_list,ord) FILTER (WHERE cast_list IS NOT NULL) AS cast_list FROM cr_rep GROUP BY id)"""
 
 
 def names(x: str) -> str:
@@ -157,21 +162,37 @@ def user_knn(train: str, n: int, metric: str = "cosine", name: str = "knn", tag:
   {name} AS ({top(name + '_c', n, 'greatest(near,10), score DESC, near, item_id')})"""
 
 
-SETS = """b AS (SELECT user_id, item_id FROM rt WHERE rating>=4.0), nb AS (SELECT count(DISTINCT user_id) AS n FROM b),
-  i1 AS (SELECT item_id AS a, count(*) AS c FROM b GROUP BY 1 HAVING count(*)>=0.02*(SELECT n FROM nb)),
-  f AS (SELECT b.* FROM b SEMI JOIN i1 ON i1.a=b.item_id),
-  sub AS (SELECT user_id, [item_id] AS items, item_id AS last FROM f UNION ALL
-    SELECT s.user_id, list_append(s.items, f.item_id), f.item_id FROM sub s JOIN f ON f.user_id=s.user_id AND f.item_id>s.last),
-  sets AS (SELECT items, count(*) AS freq, count(*)/CAST((SELECT n FROM nb) AS DOUBLE) AS support FROM sub GROUP BY 1
-    HAVING count(*)>=0.02*(SELECT n FROM nb))"""
-RULES = SETS + """,
+LEVELS = 6  # the largest item set of the small tables has four items; the last levels stay empty
+
+
+def _level(k: int) -> str:
+    """Frequent sets of k items and who has them, from those of k-1 items."""
+    longer = f"u{k - 1} u JOIN u1 f ON f.user_id=u.user_id AND f.last>u.last"
+    return f"""s{k} AS MATERIALIZED (SELECT list_append(u.items, f.last) AS items, f.last AS last, count(*) AS freq FROM {longer}
+    GROUP BY 1, 2 HAVING count(*)>=0.15*(SELECT n FROM nb)),
+  u{k} AS MATERIALIZED (SELECT u.user_id, s.items, s.last FROM {longer} JOIN s{k} s ON s.items=list_append(u.items, f.last))"""
+
+
+SETS = ",\n  ".join([
+    "b AS (SELECT DISTINCT user_id, item_id FROM rt), nb AS (SELECT count(DISTINCT user_id) AS n FROM b)",
+    "s1 AS (SELECT [item_id] AS items, item_id AS last, count(*) AS freq FROM b GROUP BY item_id HAVING count(*)>=0.15*(SELECT n FROM nb))",
+    "u1 AS (SELECT user_id, items, last FROM b JOIN s1 ON last=item_id)",
+    *[_level(k) for k in range(2, LEVELS + 1)],
+    "sets AS MATERIALIZED (SELECT items, freq, freq/CAST((SELECT n FROM nb) AS DOUBLE) AS support FROM ("
+    + " UNION ALL ".join(f"SELECT items, freq FROM s{k}" for k in range(1, LEVELS + 1)) + "))",
+])
+
+
+def rules(least: float) -> str:
+    return SETS + f""",
   sp AS (SELECT items, freq, support, unnest(range(1, (1<<len(items))-1)) AS m FROM sets WHERE len(items)>=2),
   sq AS (SELECT freq, support, list_filter(items, lambda x, i: ((m >> (i-1)) & 1)=1) AS ante,
     list_filter(items, lambda x, i: ((m >> (i-1)) & 1)=0) AS cons FROM sp),
   ru AS (SELECT ante, cons, sq.support, CAST(sq.freq AS DOUBLE)/a.freq AS confidence,
       CAST(sq.freq AS DOUBLE)/a.freq/c.support AS lift, sq.support-a.support*c.support AS leverage,
       CASE WHEN CAST(sq.freq AS DOUBLE)/a.freq<1 THEN (1.0-c.support)/(1.0-CAST(sq.freq AS DOUBLE)/a.freq) END AS conviction
-    FROM sq JOIN sets a ON a.items=ante JOIN sets c ON c.items=cons WHERE CAST(sq.freq AS DOUBLE)/a.freq>=0.1)"""
+    FROM sq JOIN sets a ON a.items=ante JOIN sets c ON c.items=cons WHERE CAST(sq.freq AS DOUBLE)/a.freq>={least})"""
+
 
 NEXT = """nx AS (SELECT user_id, item_id, lead(item_id) OVER (PARTITION BY user_id ORDER BY ts,event_id) AS next_item, ts, event_id FROM ev),
   tc AS (SELECT item_id, next_item, count(*) AS cnt FROM nx WHERE next_item IS NOT NULL GROUP BY 1,2),
@@ -209,12 +230,13 @@ def item_knn(k: int, metric: str, n: int = 10, train: str = "rt", tag: str = "")
 
 
 def _negatives() -> str:
-    strides = "[" + ",".join(map(str, STRIDES)) + "]"
     return f"""ring AS (SELECT item_id, row_number() OVER (ORDER BY item_id) AS pos FROM (SELECT DISTINCT item_id FROM rt)),
   sz AS (SELECT count(*) AS m FROM ring),
   own AS (SELECT user_id, count(*) AS c FROM rt GROUP BY 1),
-  wk AS (SELECT user_id, c, m, {h('user_id', '0', '0')} % m AS o, {strides}[{h('user_id', '1', '0')} % {len(STRIDES)} + 1] % m AS st FROM own, sz),
-  st AS (SELECT user_id, c, step, (o + step*st) % m + 1 AS pos FROM (SELECT *, unnest(range(m)) AS step FROM wk)),
+  pz AS (SELECT min(p) AS p FROM (SELECT unnest(range(greatest(m,2), 2*m+3)) AS p FROM sz)
+    WHERE len(list_filter(range(2, CAST(floor(sqrt(p)) AS BIGINT)+1), lambda d: p % d = 0))=0),
+  wk AS (SELECT user_id, c, p, {h('user_id', '0', '0')} % p AS o, {h('user_id', '1', '0')} % (p-1) + 1 AS st FROM own, pz),
+  st AS (SELECT user_id, c, step, (o + step*st) % p + 1 AS pos FROM (SELECT *, unnest(range(p)) AS step FROM wk)),
   mt AS (SELECT user_id, c, step, item_id FROM st JOIN ring USING (pos) ANTI JOIN rt USING (user_id,item_id)),
   ng AS (SELECT user_id, item_id, CAST(0 AS DOUBLE) AS label FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY step) AS rn FROM mt) WHERE rn<=c)"""
 
@@ -279,7 +301,7 @@ def sql() -> dict[str, str]:
     q["duplicate_ids"] = w(META, "SELECT id, count(*) AS occurrences FROM meta_raw GROUP BY 1 HAVING count(*)>1")
     q["latest_rating"] = w(RT, "SELECT user_id, item_id, rating, event_id FROM rt")
     q["user_baskets"] = w(
-        RT, SETS, "SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items, count(*) AS n_items FROM f GROUP BY 1"
+        RT, "SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items, count(*) AS n_items FROM rt GROUP BY 1"
     )
     q["vocabulary"] = w(BOW, "SELECT token, df FROM voc")
     q["dense_ids"] = w(EV, "SELECT user_id, row_number() OVER (ORDER BY min(event_id))-1 AS dense_id FROM ev GROUP BY 1")
@@ -306,7 +328,7 @@ def sql() -> dict[str, str]:
         "SELECT doc_id, word, degree, rank FROM rk",
     )
     merged = f"""mg AS (SELECT id, title, popularity, replace(overview, '{NO_OVERVIEW}', '') AS overview, tagline, genres, keywords, cast_list
-      FROM mf FULL JOIN kw USING (id) FULL JOIN cr USING (id))"""
+      FROM mf FULL JOIN kwf USING (id) FULL JOIN crf USING (id))"""
 
     def elements(x: str) -> str:
         return f"nullif(array_to_string(list_transform({names(x)}, lambda v: replace(lower({strip('v')}),' ','')), ' '), '')"
@@ -315,7 +337,7 @@ def sql() -> dict[str, str]:
         META, FIRST, merged, rake("ov", "mg", "id", "coalesce(overview,'')", 7), rake("tg", "mg", "id", "coalesce(tagline,'')", 3),
         "ovs AS (SELECT id, string_agg(word,' ' ORDER BY rank) AS overview FROM ov GROUP BY 1)",
         "tgs AS (SELECT id, string_agg(word,' ' ORDER BY rank) AS tagline FROM tg GROUP BY 1)",
-        f"k2 AS (SELECT id, regexp_split_to_array(lower({strip('array_to_string(' + names('keywords') + ', chr(10))')}), '\\s+') AS ws FROM kw)",
+        f"k2 AS (SELECT id, regexp_split_to_array(lower({strip('array_to_string(' + names('keywords') + ', chr(10))')}), '\\s+') AS ws FROM kwf)",
         "kws AS (" + ordered_words("k2", "id", "keywords") + ")",
         f"""SELECT mg.id, mg.title, concat_ws(' ', ovs.overview, tgs.tagline, kws.keywords, {elements('mg.cast_list')}, {elements('mg.genres')}) AS combined
           FROM mg LEFT JOIN ovs USING (id) LEFT JOIN tgs USING (id) LEFT JOIN kws USING (id)""",
@@ -380,14 +402,14 @@ def sql() -> dict[str, str]:
         "SELECT itemset, freq, string_agg(t, ' | ' ORDER BY t) AS titles FROM (SELECT itemset, freq, coalesce(p_name, CAST(item_id AS VARCHAR)) AS t FROM x LEFT JOIN part ON p_partkey=item_id) GROUP BY 1,2",
     )
     q["association_rules"] = w(
-        RT, RULES, "SELECT array_to_string(ante,',') AS antecedents, array_to_string(cons,',') AS consequents, "
+        RT, rules(0.2), "SELECT array_to_string(ante,',') AS antecedents, array_to_string(cons,',') AS consequents, "
         + ", ".join(f"{r6(c)} AS {c}" for c in ("support", "confidence", "lift", "leverage", "conviction")) + " FROM ru",
     )
     q["rule_count_by_confidence"] = w(
-        RT, RULES, "SELECT CAST(t AS DOUBLE) AS min_confidence, count(confidence) AS rules FROM (VALUES (0.6),(0.4),(0.3),(0.2),(0.15),(0.1)) v(t) LEFT JOIN ru ON confidence>=CAST(t AS DOUBLE) GROUP BY 1"
+        RT, rules(0.1), "SELECT CAST(t AS DOUBLE) AS min_confidence, count(confidence) AS rules FROM (VALUES (0.6),(0.4),(0.3),(0.2),(0.15),(0.1)) v(t) LEFT JOIN ru ON confidence>=CAST(t AS DOUBLE) GROUP BY 1"
     )
     q["rule_recs"] = w(
-        RT, RULES, "rn AS (SELECT row_number() OVER () AS id, ante, cons, lift FROM ru)",
+        RT, rules(0.2), "rn AS (SELECT row_number() OVER () AS id, ante, cons, lift FROM ru)",
         "ua AS (SELECT u.user_id, rn.id, unnest(ante) AS item_id, len(ante) AS k FROM rn CROSS JOIN (SELECT DISTINCT user_id FROM rt) u)",
         "sc AS (SELECT ua.user_id, id, sum(coalesce(rt.rating,0))/any_value(k) AS m FROM ua LEFT JOIN rt ON rt.user_id=ua.user_id AND rt.item_id=ua.item_id GROUP BY 1,2)",
         f"co AS (SELECT user_id, item_id, {r6('max(m*lift)')} AS score FROM (SELECT user_id, m, lift, unnest(cons) AS item_id FROM sc JOIN rn USING (id)) GROUP BY 1,2)",

@@ -20,8 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 N = 10  # length of a registered recommendation list
-SUPPORT = 0.02
-CONFIDENCE = 0.1
+# The usual setting of the rule method.
+SUPPORT = 0.15
+CONFIDENCE = 0.2
 
 
 def query(fn: Query) -> Query:
@@ -34,7 +35,7 @@ def _joined(items: str) -> Column:
 
 
 def _bow(spark: SparkSession, d: str, min_df: int = 3) -> DataFrame:
-    docs = T.spread(T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text"))
+    docs = T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
     counts = durable(features.bag_of_words(docs, "item_id", "text"))
     return durable(features.in_vocabulary(counts, min_df))
 
@@ -52,12 +53,8 @@ def _titles(spark: SparkSession, d: str) -> DataFrame:
     return T.table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
 
 
-def _positives(spark: SparkSession, d: str) -> DataFrame:
-    return T.ratings(spark, d).filter(F.col("rating") >= 4.0)
-
-
 def _itemsets(spark: SparkSession, d: str) -> DataFrame:
-    return rules.frequent_itemsets(_positives(spark, d), SUPPORT)
+    return rules.frequent_itemsets(T.ratings(spark, d), SUPPORT)
 
 
 # --- scans, sources, sinks -------------------------------------------------
@@ -82,7 +79,7 @@ def clean_ids(spark, d):
 def feature_sink(spark, d):
     """Write features once, try to write others over them, read back the first."""
     path = f"{shared_folder(spark)}/features-{uuid.uuid4().hex}"
-    merged = features.merge_metadata(*[T.raw_metadata(spark, d)[k] for k in ("meta", "keywords", "credits")])
+    merged = _merged(spark, d)
     sinks.save_features(features.combined_features(merged), path)
     sinks.save_features(merged.limit(0), path)
     return sinks.load_features(spark, path).select("id", "title", "combined")
@@ -245,13 +242,13 @@ def latest_rating(spark, d):
 
 @query
 def user_baskets(spark, d):
-    baskets = rules.user_baskets(_positives(spark, d), SUPPORT)
+    baskets = rules.user_baskets(T.ratings(spark, d))
     return baskets.select("user_id", _joined("items").alias("items"), F.size("items").cast("bigint").alias("n_items"))
 
 
 @query
 def vocabulary(spark, d):
-    docs = T.spread(T.table(spark, d, "documents").select("doc_id", "text"))
+    docs = T.table(spark, d, "documents").select("doc_id", "text")
     return features.vocabulary(features.bag_of_words(docs, "doc_id", "text"), 3)
 
 
@@ -317,12 +314,12 @@ def clean_elements(spark, d):
 
 @query
 def text_keywords(spark, d):
-    docs = T.spread(T.table(spark, d, "documents").select("doc_id", "text"))
+    docs = T.table(spark, d, "documents").select("doc_id", "text")
     return features.key_words(docs, "doc_id", X.drop_placeholder(F.col("text")), 7)
 
 
 def _merged(spark, d):
-    raw = T.raw_metadata(spark, d)
+    raw = T.raw_metadata(spark, d, repeated=True)
     return features.merge_metadata(raw["meta"], raw["keywords"], raw["credits"])
 
 
@@ -333,7 +330,7 @@ def combined_features(spark, d):
 
 @query
 def bag_of_words(spark, d):
-    return features.bag_of_words(T.spread(T.table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
+    return features.bag_of_words(T.table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
 
 
 # --- similarity ------------------------------------------------------------------
@@ -486,6 +483,7 @@ def association_rules(spark, d):
 
 @query
 def rule_count_by_confidence(spark, d):
+    # The confidence levels that are compared.
     thresholds = [0.6, 0.4, 0.3, 0.2, 0.15, 0.1]
     return rules.rule_counts(rules.association_rules(_itemsets(spark, d), min(thresholds)), thresholds)
 
@@ -527,7 +525,7 @@ def item_clusters(spark, d):
 
 @query
 def item_text_clusters(spark, d):
-    docs = T.spread(T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text"))
+    docs = T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
     return cluster.text_clusters(docs, X.tokens(F.col("text")), 10, restarts=2)
 
 

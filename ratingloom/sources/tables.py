@@ -11,16 +11,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a source with fewer splits than cores (one small file).
-
-    For work that is long per row, such as tokenising. A large source has more
-    splits than cores and is read as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
-
-
 def rating_events(spark: SparkSession, folder: str) -> DataFrame:
     """Every rating event; an item may be rated again by the same user."""
     half_steps = F.ceil(F.col("value") / F.lit(12.5)).cast("double") * F.lit(0.5)
@@ -60,7 +50,7 @@ def purchases(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document as an item, with the title and popularity of its part."""
+    """Every part and every document as an item; one may be without the other."""
     docs = table(spark, folder, "documents").select(
         F.col("doc_id").alias("item_id"), "text", "lang", "source"
     )
@@ -72,7 +62,7 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_brand").alias("brand"),
         F.col("p_type").alias("type"),
     )
-    return docs.join(parts, "item_id")
+    return docs.join(parts, "item_id", "full")
 
 
 def clusters(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,19 +84,13 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def catalog(spark: SparkSession, folder: str) -> DataFrame:
-    """Items that have a document, a part and an embedding."""
-    return items(spark, folder).join(
-        vectors(spark, folder).select("item_id", "cluster"), "item_id"
-    )
-
-
-def raw_metadata(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def raw_metadata(spark: SparkSession, folder: str, repeated: bool = False) -> dict[str, DataFrame]:
     """Three dirty metadata frames on a string id.
 
     The ids do not line up (parts, documents and embeddings cover different
     ranges), some are dates, some rows come twice with an empty overview, and
-    the list columns are literals with both kinds of quotes.
+    the list columns are literals with both kinds of quotes. With ``repeated``, some
+    ids of the key words and credits come twice too, first with null or other lists.
     """
     part = table(spark, folder, "part")
     docs = table(spark, folder, "documents")
@@ -153,6 +137,7 @@ def raw_metadata(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     meta = described.unionByName(emptied).drop("size")
     keywords = table(spark, folder, "embeddings").select(
         F.col("vec_id").cast("string").alias("id"),
+        (F.col("vec_id") * 2 + 1).alias("ord"),
         F.concat(
             F.lit("[{'id': "),
             F.col("label").cast("string"),
@@ -163,6 +148,7 @@ def raw_metadata(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     )
     cast = docs.select(
         F.col("doc_id").cast("string").alias("id"),
+        (F.col("doc_id") * 2 + 1).alias("ord"),
         F.when(F.col("n_chars") < 100, F.lit("[]"))
         .otherwise(
             F.concat(
@@ -175,4 +161,9 @@ def raw_metadata(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         )
         .alias("cast"),
     )
+    if repeated:
+        even = F.col("ord") % 4 == 1
+        early = F.when(even, F.lit("[{'id': 1, 'name': 'Early'}]"))
+        keywords = keywords.union(keywords.filter("ord % 10 = 1").select("id", F.col("ord") - 1, early))
+        cast = cast.union(cast.filter("ord % 14 = 1").select("id", F.col("ord") - 1, F.when(even, F.lit("[]"))))
     return {"meta": meta, "keywords": keywords, "credits": cast}

@@ -9,8 +9,8 @@ import __spark_entry__ as driver
 
 FOLDER = "/root/testdata/sf0.001"
 SQL = driver.oracle_sql()
-# 15 users: the relative support of 0.02 would make every item set frequent
-RULES = {"frequent_itemsets", "itemsets_with_titles", "association_rules", "rule_count_by_confidence", "rule_recs", "user_baskets"}
+# 15 users: three of them reach the support of 0.15, so very many item sets would be frequent
+RULES = {"frequent_itemsets", "itemsets_with_titles", "association_rules", "rule_count_by_confidence", "rule_recs"}
 # covered by brute force in the other tests, too slow to repeat here
 SLOW = {"hit_rate_grid", "hybrid_predicate", "scaled_mse", "similar_items_report", "hit_rate", "recs_with_titles"}
 

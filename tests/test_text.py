@@ -59,3 +59,14 @@ def test_combined_features_skip_nulls(spark):
     )
     assert features.combined_features(merged).first()["combined"] == "k scifi"
     assert features.combined_features(merged, unique=True).first()["combined"] == "k scifi"
+
+
+def test_merged_metadata_takes_the_first_value_of_every_frame(spark):
+    from ratingloom.operators import features
+
+    meta = spark.createDataFrame([("1", 1, "T", 1.0, None, "tag", "[]"), ("1", 2, None, None, "the quick fox", None, None)], "id string, ord bigint, title string, popularity double, overview string, tagline string, genres string")
+    lists = spark.createDataFrame([("1", 1, None), ("1", 2, "[{'name': 'One'}]"), ("1", 3, "[{'name': 'Two'}]"), ("x", 4, "[]")], "id string, ord bigint, v string")
+    merged = features.merge_metadata(meta, lists.withColumnRenamed("v", "keywords"), lists.withColumnRenamed("v", "cast"))
+    got = merged.collect()
+    assert [(r.id, r.title, r.overview, r.keywords, r.cast) for r in got] == [(1, "T", "the quick fox", "[{'name': 'One'}]", "[{'name': 'One'}]")]
+    assert features.key_words(merged, "id", merged.overview, 7).agg({"degree": "max"}).first()[0] == 2
