@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ratingloom.llm.common import id_and_text, raw_bytes
+from ratingloom.llm.common import id_and_text, raw_bytes, release
 from ratingloom.llm.hashing import U64, Stretches, mix
+from ratingloom.sources.durable import durable
 
 KEY = ["doc_id", "row"]
 
@@ -25,8 +26,14 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_values(entries: DataFrame, column: str) -> DataFrame:
-    """Values of a column that come more than once; counted before the shuffle."""
-    return entries.groupBy(column).agg(F.count("*").alias("n")).filter("n > 1").select(column)
+    """Values of a column that come more than once; counted before the shuffle.
+
+    Written as a table, so that a join with it starts from two plain shuffles, of which
+    adaptive execution can split the partition of a hot value.
+    """
+    found = durable(entries.groupBy(column).agg(F.count("*").alias("n")).filter("n > 1").select(column))
+    release(entries.sparkSession)
+    return found
 
 
 def runs_of(rows: DataFrame) -> DataFrame:

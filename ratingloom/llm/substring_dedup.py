@@ -99,7 +99,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # equal blocks have equal windows, so one of them stands for all
     classes = durable(blocks.groupBy("a", "b").agg(F.count("*").alias("times"), F.first("windows").alias("windows")))
     windows = classes.select("a", "b", "times", F.posexplode("windows").alias("nth", "h"))
-    again = windows.groupBy("h").agg(F.sum(F.least("times", F.lit(2))).alias("s")).filter("s > 1").select("h")
+    again = durable(windows.groupBy("h").agg(F.sum(F.least("times", F.lit(2))).alias("s")).filter("s > 1").select("h"))
     single = windows.filter("times = 1").join(again, "h").groupBy("a", "b").agg(F.collect_list("nth").alias("hit"))
     many = classes.filter("times > 1").select("a", "b", F.lit(None).cast("array<int>").alias("hit"))
     found = blocks.select(*KEY, "start", "n", "a", "b").join(many.union(single), ["a", "b"])

@@ -141,7 +141,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     suffixes = durable(_suffixes(with_runs(docs, durable(opened), "inner"), length))
     release(spark)
     each = suffixes.select(*KEY, "start", "single", F.posexplode("hashes").alias("k", "h"))
-    again = each.groupBy("h").agg(F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("s")).filter("s > 1").select("h")
+    again = durable(each.groupBy("h").agg(F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("s")).filter("s > 1").select("h"))
     edges = each.filter("single").join(again, "h").select(*KEY, (F.col("start") + F.col("k")).alias("start"), F.lit(1).alias("n"))
     marked = durable(runs_of(named.filter("times > 1").select(*KEY, "start", "n").union(edges)))
     release(spark)
