@@ -32,6 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 BLOCK = 1024  # ids per block: a dense block product is 8 MB
+SHARE = 16  # left blocks of a key that one task of the join pairs
 TASK_ENTRIES = 50_000_000  # packed entries one task should read
 DENSE_SHARE = 400  # a key that fills more than 1/400 of the cells joins a dense product
 DENSE_KEYS = 512  # keys of one dense product
@@ -263,6 +264,21 @@ def _partial(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> I
         )
 
 
+def pack_pairs(packs_l: DataFrame, packs_r: DataFrame, na: int, symmetric: bool) -> DataFrame:
+    """Packs of the two sides that have a key in common.
+
+    The pairs of a key are as many as its packs squared, whatever its bytes, so the
+    left packs are dealt into shares of ``SHARE`` blocks and every share gets its
+    own copy of the right packs: a task does ``SHARE`` times the right blocks at most.
+    """
+    shares = math.ceil(na / SHARE)
+    last = F.floor(F.col("b") / SHARE).cast("int") if symmetric else F.lit(shares - 1)
+    left = packs_l.withColumn("share", F.floor(F.col("a") / SHARE).cast("int"))
+    right = packs_r.withColumn("share", F.explode(F.sequence(F.lit(0), last)))
+    pairs = left.join(right, ["k", "share"])
+    return pairs.filter(F.col("a") <= F.col("b")) if symmetric else pairs
+
+
 @dataclass
 class Block:
     """What a reduction sees: sums, ids, aux values, cells marked by the caller."""
@@ -313,9 +329,7 @@ def block_product(
     if not vectors:
         packs_l = _pack(left.entries, na, "a")
         packs_r = _pack(right.entries, nb, "b")
-        products = packs_l.join(packs_r, "k")
-        if symmetric:
-            products = products.filter(F.col("a") <= F.col("b"))
+        products = pack_pairs(packs_l, packs_r, na, symmetric)
         if splits > 1:
             salt = F.pmod(F.xxhash64("k"), F.lit(splits)).cast("int").alias("s")
             salted = products.select("a", "b", salt, F.lit(PRODUCT).alias("kind"), "lids", "lvals", "rids", "rvals")

@@ -35,6 +35,7 @@ def test_product_equals_dense(sparse, splits, symmetric, small, monkeypatch):
         monkeypatch.setattr(blocks, "BLOCK", 16)
         monkeypatch.setattr(blocks, "DENSE_SHARE", 1)
         monkeypatch.setattr(blocks, "PAIRS_AT_ONCE", 50)
+        monkeypatch.setattr(blocks, "SHARE", 2)
     s = _side(frame)
     out = block_product(
         s, s, nonzero_cells, "left_id bigint, right_id bigint, value double", symmetric=symmetric, splits=splits
@@ -103,3 +104,14 @@ def test_partitions_do_not_change_the_result(spark, sparse):
         assert rows(nearest(frame, "k", "id", "value", 3), "id", "rank", "other_id", "similarity") == before
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("symmetric", [False, True])
+def test_pairs_of_a_key_in_all_rows_go_to_many_join_keys(spark, monkeypatch, symmetric):
+    monkeypatch.setattr(blocks, "SHARE", 4)
+    entries = spark.range(640).select(F.lit(1).cast("bigint").alias("k"), "id", F.lit(1.0).alias("value"))
+    left, right = blocks._pack(entries, 40, "a"), blocks._pack(entries, 40, "b")
+    pairs = blocks.pack_pairs(left, right, 40, symmetric)
+    each = {(r.a, r.b): r.share for r in pairs.select("a", "b", "share").collect()}
+    assert set(each) == {(a, b) for a in range(40) for b in range(40) if a <= b or not symmetric}
+    assert pairs.count() == len(each) and len(set(each.values())) == 10  # ten tasks may share the work of one key
