@@ -5,13 +5,13 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ratingloom.functions.numeric import MODULUS, next_prime, seeded_hash, snap
 from ratingloom.operators.blocks import Block, Side, block_product
+from ratingloom.operators.features import in_vocabulary
 from ratingloom.operators.lists import ranked_lists, walk_lists
 from ratingloom.operators.rank import exclude_seen, top_n
 from ratingloom.sources.durable import durable
@@ -41,26 +41,55 @@ def fit_kmeans(points: DataFrame, k: int, restarts: int = 10, max_iter: int = 50
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def count_features(docs: DataFrame, text_tokens: Column, min_df: int, most: int = 1 << 18) -> DataFrame:
-    """Bag-of-words ``features`` vectors over the tokens of at least ``min_df`` rows.
+def text_clusters(docs: DataFrame, text_tokens: Column, k: int, min_df: int = 3, restarts: int = 2, max_iter: int = 10, seed: int = 0) -> DataFrame:
+    """``(item_id, cluster)`` by k-means on the counts of tokens that at least ``min_df`` items have.
 
-    The fitted vocabulary is held by the driver; a larger one than ``most`` is
-    refused rather than cut.
+    Lloyd steps on tables: centroids are rows (cluster, token, weight), so neither
+    the vocabulary nor a centroid is ever on the driver or whole in a task. A step
+    joins each item's tokens with those of k centroids and takes the nearest; the
+    work is tokens times k. Of several seeded starts the cheapest is kept. An item
+    without a token is at the origin; an emptied cluster keeps its centroid.
     """
-    words = docs.withColumn("_tokens", text_tokens)
-    found = words.select(F.explode(F.array_distinct("_tokens")).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
-    size = found.filter(F.col("df") >= min_df).count()
-    if not 0 < size <= most:
-        raise ValueError(f"{size} tokens in the vocabulary, at most {most} allowed")
-    model = CountVectorizer(inputCol="_tokens", outputCol="features", minDF=min_df, vocabSize=size).fit(words)
-    return model.transform(words).drop("_tokens")
-
-
-def text_clusters(docs: DataFrame, text_tokens: Column, k: int, min_df: int = 3, restarts: int = 10) -> DataFrame:
-    """``(item_id, cluster)`` by k-means on token counts."""
-    points = durable(count_features(docs, text_tokens, min_df).select("item_id", "features"))
-    model = fit_kmeans(points, k, restarts)
-    return model.transform(points).select("item_id", F.col("prediction").cast("bigint").alias("cluster"))
+    words = docs.select("item_id", F.explode(text_tokens).alias("token")).groupBy("item_id", "token").agg(F.count("*").alias("cnt"))
+    counts = durable(in_vocabulary(words, min_df))
+    items = docs.select("item_id").distinct()
+    squares = counts.groupBy("item_id").agg(F.sum(F.col("cnt") * F.col("cnt")).cast("double").alias("x"))
+    items = durable(items.join(squares, "item_id", "left").select("item_id", F.coalesce("x", F.lit(0.0)).alias("x")))
+    best: tuple[float, DataFrame] | None = None
+    for start in range(seed, seed + restarts):
+        cost, found = _lloyd(counts, items, k, max_iter, start)
+        if best is None or cost < best[0]:
+            best = cost, found
+    return best[1].select("item_id", "cluster")
+
+
+def _lloyd(counts: DataFrame, items: DataFrame, k: int, max_iter: int, start: int) -> tuple[float, DataFrame]:
+    """Cost and assignment ``(item_id, cluster, d)`` from one seeded start."""
+    order = [seeded_hash(F.col("item_id"), F.lit(start), 29), F.col("item_id")]
+    first = items.filter("x > 0").orderBy(*order).limit(k)
+    numbered = first.select("item_id", (F.row_number().over(W.orderBy(*order)) - 1).cast("bigint").alias("cluster"))  # k rows
+    centroids = durable(counts.join(numbered, "item_id").select("cluster", "token", F.col("cnt").cast("double").alias("w")))
+    before, cost = None, float("inf")
+    for _ in range(max_iter):
+        lengths = centroids.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("q"))
+        dots = counts.join(centroids, "token").groupBy("item_id", "cluster").agg(F.sum(F.col("cnt") * F.col("w")).alias("dot"))
+        near = dots.join(lengths, "cluster").select("item_id", "cluster", snap(F.col("q") - 2 * F.col("dot")).alias("d"))
+        shortest = lengths.orderBy("q", "cluster").first()  # the nearest to an item that shares no token
+        if shortest is None:
+            return 0.0, items.select("item_id", F.lit(0).cast("bigint").alias("cluster"), F.lit(0.0).alias("d"))
+        far = items.select("item_id", F.lit(shortest.cluster).alias("cluster"), snap(F.lit(shortest.q)).alias("d"))
+        nearest = near.union(far).groupBy("item_id").agg(F.min(F.struct("d", "cluster")).alias("m"))
+        assigned = durable(nearest.join(items, "item_id").select("item_id", F.col("m.cluster").alias("cluster"), (F.col("m.d") + F.col("x")).alias("d")))
+        state = assigned.agg(F.sum("d"), F.sum(F.xxhash64("item_id", "cluster").cast("decimal(38,0)"))).first()
+        cost = state[0] or 0.0
+        if state[1] == before:
+            break
+        before = state[1]
+        sizes = assigned.groupBy("cluster").agg(F.count("*").alias("n"))
+        sums = counts.join(assigned, "item_id").groupBy("cluster", "token").agg(F.sum("cnt").alias("s"))
+        moved = sums.join(sizes, "cluster").select("cluster", "token", (F.col("s") / F.col("n")).alias("w"))
+        centroids = durable(moved.union(centroids.join(sizes.select("cluster"), "cluster", "left_anti")))
+    return cost, assigned
 
 
 def item_clusters(items: DataFrame, k: int, restarts: int = 10) -> DataFrame:

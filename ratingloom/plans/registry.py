@@ -526,7 +526,7 @@ def item_clusters(spark, d):
 @query
 def item_text_clusters(spark, d):
     docs = T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
-    return cluster.text_clusters(docs, X.tokens(F.col("text")), 10, restarts=2)
+    return cluster.text_clusters(docs, X.tokens(F.col("text")), 10, restarts=1)
 
 
 @query

@@ -107,11 +107,22 @@ def test_user_clusters(random_ratings, vectors):
         assert r["predicted"] == pytest.approx(p[p != 0].mean() * 5, abs=1e-5)
 
 
-def test_count_features(spark):
+def test_text_clusters_are_a_fixed_point_of_lloyd(spark):
+    rng = np.random.default_rng(8)
+    topics = [["sea", "ship", "sail"], ["bread", "oven", "flour"], ["star", "moon", "orbit"]]
+    texts = [" ".join(rng.choice(topics[i % 3], 8)) + " the" for i in range(45)] + [""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    got = dict(rows(cluster.text_clusters(docs, F.split("text", " "), 3, 1, restarts=2), "item_id", "cluster"))
+    vocabulary = sorted(set(" ".join(texts).split(" ")))
+    x = np.array([[t.split(" ").count(w) for w in vocabulary] for t in texts], float)
+    labels = np.array([got[i] for i in range(len(texts))])
+    centres = {c: x[labels == c].mean(0) for c in set(labels)}
+    distance = np.array([[((v - centres[c]) ** 2).sum() for c in sorted(centres)] for v in x])
+    assert np.allclose(distance.min(1), [((v - centres[c]) ** 2).sum() for v, c in zip(x, labels)])
+    assert len(centres) == 3
+
+
+def test_every_text_its_own_cluster(spark):
     docs = spark.createDataFrame([(1, "a a b"), (2, "a c"), (3, "a b")], "item_id bigint, text string")
-    out = cluster.count_features(docs, F.split("text", " "), 2)
-    assert [list(r["features"].toArray()) for r in out.orderBy("item_id").collect()] == [[2, 1], [1, 0], [1, 1]]
-    with pytest.raises(ValueError, match="3 tokens"):
-        cluster.count_features(docs, F.split("text", " "), 1, most=2)
     groups = dict(rows(cluster.text_clusters(docs, F.split("text", " "), 3, 1, restarts=1), "item_id", "cluster"))
     assert len(set(groups.values())) == 3

@@ -26,6 +26,13 @@ def test_every_query_has_a_name_in_both_lists():
     assert set(SQL) <= set(driver.queries())
 
 
+@pytest.mark.parametrize("name", sorted(RULES))
+def test_rule_query_equals_sql(spark, name):
+    folder = "/root/testdata/sf0.01"
+    got = driver.queries()[name](spark, folder).toPandas()
+    assert len(got) and difference(got, connect(folder).execute(SQL[name]).df()) is None
+
+
 @pytest.mark.parametrize("name", sorted(set(SQL) - RULES - SLOW))
 def test_query_equals_sql(spark, con, name):
     got = driver.queries()[name](spark, FOLDER).toPandas()
