@@ -36,7 +36,7 @@ from ratingloom.sources.durable import durable
 
 LENGTH = 400
 TRIGGER = 8
-EVERY = 64
+EVERY = 32  # bytes of a phrase on average; few windows of 400 bytes are then without a whole phrase
 
 
 def phrase_starts(text: bytes) -> np.ndarray:
@@ -140,9 +140,12 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     opened = opened.groupBy(*KEY).agg(F.collect_set(F.struct("start", "n", (F.col("times") == 1).alias("single"))).alias("runs"))
     suffixes = durable(_suffixes(with_runs(docs, durable(opened), "inner"), length))
     release(spark)
-    each = suffixes.select(*KEY, "start", "single", F.posexplode("hashes").alias("k", "h"))
+    each = suffixes.select(*KEY, "start", "single", F.posexplode("hashes").alias("k", "h")).select(
+        *KEY, (F.col("start") + F.col("k")).alias("start"), "single", "h"
+    )
     again = durable(each.groupBy("h").agg(F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("s")).filter("s > 1").select("h"))
-    edges = each.filter("single").join(again, "h").select(*KEY, (F.col("start") + F.col("k")).alias("start"), F.lit(1).alias("n"))
+    release(spark)
+    edges = each.filter("single").join(again, "h").select(*KEY, "start", F.lit(1).alias("n"))
     marked = durable(runs_of(named.filter("times > 1").select(*KEY, "start", "n").union(edges)))
     release(spark)
     return marked
