@@ -106,19 +106,31 @@ def _spots(matched: DataFrame, length: int) -> DataFrame:
     return matched.mapInArrow(lambda batches: by_text(batches, 2, spots, pa.schema(names)), schema)
 
 
+SINGLE, STANDING, SURE = 0, 1, 2
+
+
 def _suffixes(opened: DataFrame, length: int) -> DataFrame:
-    """(doc_id, row, start, n, single, hashes) of the opened spots: hashes of the single suffixes."""
-    names = [("doc_id", pa.int64()), ("row", pa.int32()), ("start", pa.int32()), ("single", pa.bool_()), ("hashes", pa.list_(pa.int64()))]
+    """(doc_id, row, kind, at, hashes) of the opened spots of each text: SINGLE suffixes with their places; one of
+    each that stands for several; and SURE runs (first place, number) of what comes twice in the text itself,
+    so a periodic text does not hand on each of its suffixes."""
+    names = [("doc_id", pa.int64()), ("row", pa.int32()), ("kind", pa.int32()), ("at", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64()))]
 
     def suffixes(b: pa.RecordBatch, i: int, text: bytes) -> Iterator[tuple]:
-        whole = Stretches.of_bytes(text)
+        spots = b.column(3)[i].as_py()
+        at = np.concatenate([np.arange(p["start"], p["start"] + p["n"]) for p in spots])
+        single = np.repeat([p["single"] for p in spots], [p["n"] for p in spots])
+        h = Stretches.of_bytes(text).hash(at, at + length).view(np.int64)
+        _, back, times = np.unique(h, return_inverse=True, return_counts=True)
+        alone = single & (times[back] == 1)
+        sure = np.sort(at[single & ~alone])
+        first = np.flatnonzero(np.diff(sure, prepend=-2) > 1)
         doc, row = b.column(0)[i].as_py(), b.column(1)[i].as_py()
-        for spot in b.column(3)[i].as_py():
-            at = np.arange(spot["start"], spot["start"] + spot["n"])
-            yield doc, row, spot["start"], spot["single"], whole.hash(at, at + length).view(np.int64)
+        yield doc, row, SINGLE, at[alone], h[alone]
+        yield doc, row, STANDING, at[:0], np.unique(h[~alone])
+        yield doc, row, SURE, sure[first], np.diff(np.append(first, len(sure)))
 
-    schema = "doc_id bigint, row int, start int, single boolean, hashes array<bigint>"
-    return opened.mapInArrow(lambda batches: by_text(batches, 2, suffixes, pa.schema(names), 2_000), schema)
+    schema = "doc_id bigint, row int, kind int, at array<int>, hashes array<bigint>"
+    return opened.mapInArrow(lambda batches: by_text(batches, 2, suffixes, pa.schema(names), 500), schema)
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -132,6 +144,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     place = F.struct(*KEY, "start")
     classes = durable(spots.groupBy("a", "b").agg(F.count("*").alias("times"), F.min(place).alias("first")))
     named = durable(spots.join(classes, ["a", "b"]).select(*KEY, "start", "n", "follows", "loose", "times", (place == F.col("first")).alias("stands")))
+    release(spark)
     single = named.filter("times = 1")
     behind = single.select("follows").distinct()
     standing = named.filter("times > 1 and stands")
@@ -140,13 +153,13 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     opened = opened.groupBy(*KEY).agg(F.collect_set(F.struct("start", "n", (F.col("times") == 1).alias("single"))).alias("runs"))
     suffixes = durable(_suffixes(with_runs(docs, durable(opened), "inner"), length))
     release(spark)
-    each = suffixes.select(*KEY, "start", "single", F.posexplode("hashes").alias("k", "h")).select(
-        *KEY, (F.col("start") + F.col("k")).alias("start"), "single", "h"
-    )
-    again = durable(each.groupBy("h").agg(F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("s")).filter("s > 1").select("h"))
+    pairs = suffixes.select(*KEY, "kind", F.explode(F.arrays_zip("at", "hashes")).alias("p"))
+    each = pairs.filter(F.col("kind") != SURE).select(*KEY, F.col("p.at").alias("start"), F.lit(1).alias("n"), "kind", F.col("p.hashes").alias("h"))
+    again = durable(each.groupBy("h").agg(F.sum(F.when(F.col("kind") == SINGLE, 1).otherwise(2)).alias("s")).filter("s > 1").select("h"))
     release(spark)
-    edges = each.filter("single").join(again, "h").select(*KEY, "start", F.lit(1).alias("n"))
-    marked = durable(runs_of(named.filter("times > 1").select(*KEY, "start", "n").union(edges)))
+    edges = each.filter(F.col("kind") == SINGLE).join(again, "h").select(*KEY, "start", "n")
+    sure = pairs.filter(F.col("kind") == SURE).select(*KEY, F.col("p.at").alias("start"), F.col("p.hashes").cast("int").alias("n"))
+    marked = durable(runs_of(named.filter("times > 1").select(*KEY, "start", "n").union(edges).union(sure)))
     release(spark)
     return marked
 
