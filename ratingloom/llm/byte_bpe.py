@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 from ratingloom.llm.common import id_and_text, lists
 
 # Sizes at which a worker forgets what it has remembered; results do not depend on them.
-WORDS_KEPT = 600_000
-PAIRS_KEPT = 1_000_000
+WORDS_KEPT = 250_000
+PAIRS_KEPT = 300_000
 LONG_WORD = 64
 
 
