@@ -58,3 +58,107 @@ def test_equals_sql(spark, d):
 def test_plan_has_no_python_and_no_shuffle(spark):
     plan = QUERIES["op2_license_scan"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+
+GPL = """This file is part of Thing.
+
+Thing is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+Thing is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+BSD3 = """Copyright (c) 2020, Some Body. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+BSD2 = BSD3[: BSD3.index("3. Neither")] + BSD3[BSD3.index("THIS SOFTWARE") :]
+
+
+def _commented(text, style):
+    lines = text.split("\n")
+    if style == "block":
+        return "/*\n" + "\n".join(f" * {x}".rstrip() for x in lines) + "\n */\nint main() {}"
+    return "\n".join(f"{style} {x}".rstrip() for x in lines) + "\nimport os" if style else text
+
+
+@pytest.mark.parametrize("style", ["", "#", "//", "--", "block"])
+def test_whole_notices_wrapped_and_commented(spark, style):
+    full = [(MIT, "mit_text", "MIT"), (HEADER, "apache_header", "Apache-2.0"), (GPL, "gpl3_notice", "GPL-3.0-or-later"),
+            (BSD3, "bsd3_text", "BSD-3-Clause"), (BSD2, "bsd2_text", "BSD-2-Clause"), ("Copyright 2020 X\n\n" + HEADER, "apache_header", "Apache-2.0")]
+    docs = spark.createDataFrame([(i, _commented(t, style)) for i, (t, _, _) in enumerate(full)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.rules, r.licenses) for r in L.report(docs).collect()}
+    assert [got[i] for i in range(len(full))] == [(rule, licence) for _, rule, licence in full]
+
+
+def test_a_notice_is_found_at_every_width(spark):
+    import textwrap
+
+    paragraphs = MIT.split("\n\n")
+    texts = ["\n\n".join(textwrap.fill(p, w) for p in paragraphs).replace("\n", end) for w in (20, 40, 60, 100, 5000) for end in ("\n", "\r\n")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.rules for r in L.report(docs).collect()} == {"mit_text"}
+
+
+def test_spdx_identifiers_wherever_they_stand(spark):
+    texts = {
+        "# SPDX-License-Identifier: MIT\nimport os": "MIT",
+        "/* SPDX-License-Identifier: BSD-3-Clause */\nint x;": "BSD-3-Clause",
+        "#!/bin/sh\n# spdx-license-identifier: mit\necho": "MIT",
+        "// SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR Apache-2.0\nfoo": "GPL-2.0-only WITH Linux-syscall-note,Apache-2.0",
+        "<!-- SPDX-License-Identifier: CC-BY-4.0 -->\n<p>": "CC-BY-4.0",
+        "x = 1  # SPDX-License-Identifier: LicenseRef-own and so on": "LicenseRef-own",
+        "SPDX-License-Identifier:\nnone": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in L.report(docs).collect()}
+    assert [got[i].licenses for i in range(len(texts))] == list(texts.values())
+    assert all((r.n_sentences, r.n_unruled) == (1 if r.licenses else 0, 0) for r in got.values())
