@@ -24,9 +24,9 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 def normalized(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
-        if df[c].dtype.kind in "iub":
+        if df[c].dtype.kind in "iub" and not df[c].hasnans:
             df[c] = df[c].astype("int64")
-        elif df[c].dtype.kind == "f":
+        elif df[c].dtype.kind in "iubf":
             df[c] = df[c].astype("float64")
         else:
             df[c] = df[c].map(lambda v: "\0" if v is None or v is pd.NA else str(v))
