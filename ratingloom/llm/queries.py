@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, personal_data, preferences, substring_dedup, suffix_dedup, vectors
+from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, personal_data, preferences, spelling, substring_dedup, suffix_dedup, vectors
 from ratingloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,11 @@ def op6_preferences(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL["op6_preferences"] = preferences.SQL
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.report(table(spark, d, "documents"))
+
+
+SQL["op13_spelling_variants"] = spelling.sql()
