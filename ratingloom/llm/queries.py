@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, packing, personal_data, preferences, spelling, substring_dedup, suffix_dedup, vectors
+from ratingloom.llm import byte_bpe, decontaminate, language_id, license_scan, minhash, packing, personal_data, preferences, spelling, substring_dedup, suffix_dedup, vectors, whitening
 from ratingloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op11_packing(spark: SparkSession, d: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
         vocabulary = f.read()
     return packing.pack(table(spark, d, "documents"), vocabulary)
+
+
+@query
+def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whiten(table(spark, d, "embeddings"))
