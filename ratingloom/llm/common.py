@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,3 +74,49 @@ def release(spark: SparkSession) -> None:
     half an hour, so large steps that follow each other would hold all their files at once.
     """
     spark.sparkContext._jvm.System.gc()
+
+
+class Remembered(dict):
+    """What ``compute`` makes of a string or of bytes, remembered within a bound of bytes.
+
+    There are two generations: when the young one is full it becomes the old one, and what is met again moves
+    back. So frequent keys stay and rare ones go, at the cost of one look-up.
+    """
+
+    ENTRY = 200  # bytes that an entry takes besides its key and value
+
+    def __init__(self, compute: Callable, most: int, longest: int):
+        super().__init__()
+        self.compute, self.most, self.longest = compute, most, longest
+        self.old: dict = {}
+        self.held = 0
+
+    def put(self, key: str | bytes, value: bytes) -> None:
+        if len(key) <= self.longest:
+            self.held += self.ENTRY + len(key) + len(value)
+            if self.held > self.most // 2:
+                self.old = dict(self)
+                self.clear()
+                self.held = self.ENTRY + len(key) + len(value)
+            self[key] = value
+
+    def put_all(self, keys: list, values: list) -> None:
+        """As ``put``, for many at once."""
+        if self.held > self.most // 2:
+            self.old = dict(self)
+            self.clear()
+            self.held = 0
+        before = len(self)
+        self.update(zip(keys, values, strict=True))
+        for key in [k for k in keys if len(k) > self.longest]:
+            del self[key]
+        if keys:
+            each = (sum(map(len, keys)) + sum(map(len, values))) // len(keys)
+            self.held += (self.ENTRY + each) * (len(self) - before)
+
+    def __missing__(self, key: str | bytes) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self.put(key, value)
+        return value

@@ -15,7 +15,8 @@ window may be padded: less than one window for so many tasks.
 
 Text is cut at ASCII white space, across which the tokenizer merges nothing, and a worker remembers the
 ids of the stretches it has met, up to ``BYTES_KEPT``. Very long texts are encoded in slices and their whole windows are
-settled on the way, so a task holds one slice and not their ids; only a text without white space is one slice.
+settled on the way, so a task holds one slice and not their ids; only a text without white space is one slice. Shorter
+texts are encoded together, ``GATHERED`` bytes at a time, each different stretch once.
 Special tokens of the vocabulary that stand in a text are ordinary text there.
 
 Null text is an empty document, which consists of the closing id alone. Rows are documents of their own, also if
@@ -34,11 +35,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from ratingloom.llm.common import id_and_text, raw_bytes
+from ratingloom.llm.common import Remembered, id_and_text, raw_bytes
 from ratingloom.sources.durable import durable
 
 TIERS = (2048, 1024, 512, 256)
@@ -47,9 +49,12 @@ PACK_TOKENS = 1 << 21
 TASKS_GATHERED = 1024
 CLOSING = 1  # the id after each document
 SLICE = 1 << 20  # bytes of a text that are encoded at once
+GATHERED = 32 << 20  # bytes of shorter texts that are encoded together
+TOGETHER = 200  # unknown stretches in one call of the tokenizer
 LONG_STRETCH = 48
-BYTES_KEPT = 24 << 20  # about how much a worker remembers
-ENTRY = 160  # bytes that an entry takes besides its own
+WORD_END = "</w>"  # the end of tokens that end a word, in the vocabulary
+STOPS = frozenset(".,;:!?")
+BYTES_KEPT = 128 << 20  # about how much a worker remembers
 PACKS = 1 << 32  # sequence ids: task, then number in the task
 WHITE = re.compile(rb"[ \t\n\r\v\f]")
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, tier int, step_group bigint"
@@ -63,35 +68,85 @@ class Coder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
-        self.kept = 0
-
-    def _learn(self, stretches: list[bytes]) -> dict[bytes, bytes]:
-        found = self.tokenizer.encode_batch_fast([s.decode() for s in stretches], add_special_tokens=False)
-        new = {s: np.array(e.ids, "<u4").tobytes() for s, e in zip(stretches, found, strict=True)}
-        if self.kept > BYTES_KEPT:
-            self.known, self.kept = {}, 0
-        short = {s: ids for s, ids in new.items() if len(s) <= LONG_STRETCH}
-        self.kept += sum(len(s) + len(ids) + ENTRY for s, ids in short.items())
-        self.known.update(short)
-        return new
-
-    def encode(self, text: bytes) -> bytes:
-        stretches = text.split()  # of bytes: at ASCII white space
-        try:
-            return b"".join(map(self.known.__getitem__, stretches))
-        except KeyError:
-            known = self.known
-            new = self._learn([s for s in dict.fromkeys(stretches) if s not in known])
-            return b"".join([new[s] if s in new else known[s] for s in stretches])
+        self.known = Remembered(None, BYTES_KEPT, LONG_STRETCH)  # what is missing is encoded together
+        tokens = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(tokens.values()) + 1, bool)
+        self.ends_word[[i for t, i in tokens.items() if t.endswith(WORD_END)]] = True
+
+    def _unknown(self, stretches: list[str]) -> list[bytes]:
+        """Ids of stretches, encoded as a few texts.
+
+        Where the words of a stretch are known to be one or two, the ids that end a word tell
+        whose ids they are, otherwise the places that the tokenizer gives.
+        """
+        plain, other = [], []
+        for s in stretches:
+            (plain if s.isascii() and (s.isalpha() or s[:-1].isalpha() and s[-1] in STOPS) else other).append(s)
+        out: dict[str, bytes] = {}
+        for part, exact in ((k[a : a + TOGETHER], k is plain) for k in (plain, other) for a in range(0, len(k), TOGETHER)):
+            text = " ".join(part)
+            if exact:
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                last = np.cumsum([1 if s[-1].isalpha() else 2 for s in part]) - 1
+                ends = (np.flatnonzero(self.ends_word[ids]) + 1)[last]
+            else:
+                encoded = self.tokenizer.encode(text, add_special_tokens=False)
+                ids, at = np.array(encoded.ids, "<u4"), np.array(encoded.offsets, np.int64).reshape(-1, 2)[:, 0]
+                begins = np.cumsum([0, *(len(s) + 1 for s in part[:-1])])
+                ends = np.cumsum(np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(part)))
+            raw, cuts = ids.tobytes(), (4 * ends).tolist()
+            out |= zip(part, [raw[x:y] for x, y in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True)
+        return [out[s] for s in stretches]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Stretches are told apart once for all texts, so that each is looked up once."""
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        coded = words.flatten().dictionary_encode()
+        # of other letters the case may decide whether they are composed with a mark
+        stretches = [s.lower() if s.isascii() else s for s in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        which, bounds = coded.indices.to_numpy(), words.offsets.to_numpy()
+        ids = list(map(self.known.get, stretches))
+        if None in ids:
+            missing = list(dict.fromkeys([s for s, i in zip(stretches, ids, strict=True) if i is None]))
+            values = list(map(self.known.old.get, missing))
+            new = iter(self._unknown([s for s, i in zip(missing, values, strict=True) if i is None]))
+            values = [next(new) if i is None else i for i in values]
+            self.known.put_all(missing, values)
+            met = dict(zip(missing, values, strict=True))
+            ids = [met[s] if i is None else i for s, i in zip(stretches, ids, strict=True)]
+        size = np.array([len(i) // 4 for i in ids], np.int64)
+        pool, begin = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        out = []
+        for x, y in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+            own = which[x:y]
+            n = size[own]
+            ends = np.cumsum(n)
+            total = int(ends[-1]) if len(ends) else 0
+            out.append(pool[np.repeat(begin[own] - ends + n, n) + np.arange(total)].tobytes())
+        return out
 
     def slices(self, text: bytes) -> Iterator[bytes]:
         """Ids of a text slice by slice, in order."""
         at = 0
         while len(text) - at > SLICE and (white := WHITE.search(text, at + SLICE)):
-            yield self.encode(text[at : white.start()])
+            yield self.encode([text[at : white.start()]])[0]
             at = white.start()
-        yield self.encode(text[at:] if at else text)
+        yield self.encode([text[at:] if at else text])[0]
+
+    def read(self, docs: Iterator[tuple[int | None, bytes]]) -> Iterator[tuple[int | None, Iterator[bytes]]]:
+        """Documents with the slices of their ids, in order; short texts are encoded together."""
+        ids, texts, held = [], [], 0
+        for doc_id, text in docs:
+            if held + len(text) > GATHERED or len(text) > SLICE:
+                yield from ((i, iter([e])) for i, e in zip(ids, self.encode(texts), strict=True))
+                ids, texts, held = [], [], 0
+            if len(text) > SLICE:
+                yield doc_id, self.slices(text)
+            else:
+                ids.append(doc_id)
+                texts.append(text)
+                held += len(text)
+        yield from ((i, iter([e])) for i, e in zip(ids, self.encode(texts), strict=True))
 
 
 _coders: dict[int, Coder] = {}
@@ -223,10 +278,10 @@ def _with_ids(b: pa.RecordBatch, ids: list[bytes] | None = None) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.binary()) if ids else pa.nulls(b.num_rows, pa.binary())], [*b.schema.names, "ids"])
 
 
-def _read(doc_id: int | None, text: bytes, own: Coder, size: int, rows: Rows, pack: Pack) -> None:
+def _read(doc_id: int | None, slices: Iterator[bytes], size: int, rows: Rows, pack: Pack) -> None:
     """One document: whole windows of the largest size are settled, the rest goes into the pack."""
     held, start, whole = b"", 0, []
-    for ids in own.slices(text):
+    for ids in slices:
         held = held + ids if held else ids
         cut = 0
         while len(held) - cut > 4 * size:  # more than a window: the closing id is still to come
@@ -255,14 +310,15 @@ def pack(docs: DataFrame, vocabulary: str, tiers: tuple[int, ...] = TIERS, step_
         own, current = coder(sent.value), Pack(tiers)
         rows = Rows(TaskContext.get().partitionId(), step_tokens)
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), raw_bytes(b.column(1)), strict=True):
-                _read(doc_id, text, own, size, rows, current)
+            for doc_id, slices in own.read(zip(b.column(0).to_pylist(), raw_bytes(b.column(1)), strict=True)):
+                _read(doc_id, slices, size, rows, current)
                 if current.tokens + size * len(rows.settled) >= PACK_TOKENS:
                     full, last = current.windows()
                     yield _with_ids(rows.batch(full, size))
                     current = Pack(tiers)
                     for document, start, length in last.pieces if last else ():
                         current.add(document, start, length)
+        own.known = Remembered(None, BYTES_KEPT, LONG_STRETCH)  # the worker may serve other operators next
         full, last = current.windows()
         yield _with_ids(rows.batch(full, size))
         if last:

@@ -69,10 +69,10 @@ def test_ids_equal_those_of_whole_texts(vocabulary, whole, monkeypatch):
 
 
 def test_a_worker_forgets_and_stays_right(vocabulary, whole, monkeypatch):
-    monkeypatch.setattr(P, "BYTES_KEPT", 300)
+    monkeypatch.setattr(P, "BYTES_KEPT", 3000)
     own = P.Coder(vocabulary)
     for text in texts()[:60]:
-        assert np.frombuffer(own.encode((text or "").encode()), "<u4").tolist() == whole(text)[:-1]
+        assert np.frombuffer(own.encode([(text or "").encode()])[0], "<u4").tolist() == whole(text)[:-1]
 
 
 def test_each_id_lies_in_one_piece(spark, vocabulary, whole):
@@ -93,8 +93,8 @@ def test_packs_of_a_task_hand_on_their_open_window(spark, vocabulary, whole, mon
     monkeypatch.setattr(P, "SLICE", 3000)
     # workers import the module afresh, so the generator is run here with the small sizes
     rows, own, current, out = P.Rows(0, 8192), P.Coder(vocabulary), P.Pack(), []
-    for i, text in docs:
-        P._read(i, (text or "").encode(), own, 2048, rows, current)
+    for i, slices in own.read((i, (text or "").encode()) for i, text in docs):
+        P._read(i, slices, 2048, rows, current)
         if current.tokens >= P.PACK_TOKENS:
             full, last = current.windows()
             out += rows.batch(full, 2048).to_pylist()
