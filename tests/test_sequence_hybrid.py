@@ -5,7 +5,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from ratingloom.operators import hybrid, sequence
+from ratingloom.operators import hybrid, sequence, strata
 
 
 @pytest.fixture(scope="module")
@@ -69,7 +69,7 @@ def test_trajectory(spark, events):
 
 def test_word_vectors_cover_the_items(events):
     frame, data = events
-    got = sequence.item_embeddings(frame, size=4)
+    got = strata.item_embeddings(frame, size=4)
     assert {r["item_id"] for r in got.collect()} == {i for _, i, _, _ in data}
 
 
