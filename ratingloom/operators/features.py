@@ -74,3 +74,18 @@ def vocabulary(bow: DataFrame, min_df: int) -> DataFrame:
 
 def in_vocabulary(bow: DataFrame, min_df: int) -> DataFrame:
     return bow.join(vocabulary(bow, min_df).select("token"), "token", "left_semi")
+
+
+def hashed_vectors(items: DataFrame, bow: DataFrame, width: int = 64) -> DataFrame:
+    """``(item_id, vector)``: token counts hashed into ``width`` signed places, scaled to length 1.
+
+    Hashing is linear, so the rating-weighted sum of these vectors is the hashed form of the rating-weighted
+    token counts of a user, and no vocabulary is needed. An item without tokens is zero.
+    """
+    place, sign = F.pmod(F.xxhash64("token"), F.lit(width)), F.pmod(F.xxhash64("token", F.lit("sign")), F.lit(2)) * 2 - 1
+    signed = bow.select("item_id", place.alias("place"), (sign * F.col("cnt")).cast("double").alias("v"))
+    sums = signed.groupBy("item_id").agg(F.array(*[F.sum(F.when(F.col("place") == j, F.col("v")).otherwise(0.0)) for j in range(width)]).alias("s"))
+    length = F.sqrt(F.aggregate("s", F.lit(0.0), lambda t, x: t + x * x))
+    scaled = F.when(length > 0, F.transform("s", lambda x: x / length)).otherwise(F.col("s"))
+    every = items.select("item_id").distinct().join(sums, "item_id", "left")
+    return every.select("item_id", F.coalesce(scaled, F.array(*[F.lit(0.0)] * width)).alias("vector"))
