@@ -11,19 +11,24 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from ratingloom.functions.numeric import MODULUS, next_prime, seeded_hash, snap
 from ratingloom.operators.blocks import Block, Side, block_product
-from ratingloom.operators.features import in_vocabulary
+from ratingloom.operators.features import in_vocabulary, spread
 from ratingloom.operators.lists import ranked_lists, walk_lists
 from ratingloom.operators.rank import exclude_seen, top_n
 from ratingloom.sources.durable import durable
 from ratingloom.sources.readers import first_values
 
-TASKS = 8  # partitions of an iterative fit; part of the model, as sums of doubles depend on them
+TASK_ROWS = 50_000  # rows of a partition of an iterative fit; part of the model, as sums of doubles depend on them
+
+
+def training_tasks(df: DataFrame, rows: int = TASK_ROWS) -> int:
+    """Partitions of an iterative fit, from its rows and never from the cluster."""
+    return max(1, -(-df.count() // rows))
 
 
 def training_rows(df: DataFrame, *key: str) -> DataFrame:
     """Rows for an iterative fit, dealt by their key and sorted, so that neither the
     size of the cluster nor the order of arrival changes the model."""
-    return df.repartition(TASKS, *key).sortWithinPartitions(*key)
+    return df.repartition(training_tasks(df), *key).sortWithinPartitions(*key)
 
 
 @F.pandas_udf(T.LongType())
@@ -41,55 +46,186 @@ def fit_kmeans(points: DataFrame, k: int, restarts: int = 10, max_iter: int = 50
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def text_clusters(docs: DataFrame, text_tokens: Column, k: int, min_df: int = 3, restarts: int = 2, max_iter: int = 10, seed: int = 0) -> DataFrame:
+def text_clusters(
+    docs: DataFrame, text_tokens: Column, k: int, min_df: int = 3, restarts: int = 10, max_iter: int = 500, rounds: int = 5, seed: int = 0
+) -> DataFrame:
     """``(item_id, cluster)`` by k-means on the counts of tokens that at least ``min_df`` items have.
 
-    Lloyd steps on tables: centroids are rows (cluster, token, weight), so neither
-    the vocabulary nor a centroid is ever on the driver or whole in a task. A step
-    joins each item's tokens with those of k centroids and takes the nearest; the
-    work is tokens times k. Of several seeded starts the cheapest is kept. An item
+    Seeds come from k-means||, steps run until no item changes its cluster (``max_iter`` is a guard), and the cheapest of
+    several starts is kept. Everything is a table of (token, array): the centroids of all starts still moving lie side
+    by side, so one join with the token counts serves all of them, and neither the
+    vocabulary nor a centroid is ever on the driver or whole in a task. An item
     without a token is at the origin; an emptied cluster keeps its centroid.
     """
-    words = docs.select("item_id", F.explode(text_tokens).alias("token")).groupBy("item_id", "token").agg(F.count("*").alias("cnt"))
-    counts = durable(in_vocabulary(words, min_df))
-    items = docs.select("item_id").distinct()
-    squares = counts.groupBy("item_id").agg(F.sum(F.col("cnt") * F.col("cnt")).cast("double").alias("x"))
-    items = durable(items.join(squares, "item_id", "left").select("item_id", F.coalesce("x", F.lit(0.0)).alias("x")))
+    words = spread(docs).select("item_id", F.explode(text_tokens).alias("token")).groupBy("item_id", "token").agg(F.count("*").alias("cnt"))
+    counts = durable(in_vocabulary(words, min_df).withColumn("cnt", F.col("cnt").cast("double")))
+    squares = counts.groupBy("item_id").agg(F.sum(F.col("cnt") * F.col("cnt")).alias("x"))
+    items = docs.select("item_id").distinct().join(squares, "item_id", "left")
+    items = durable(items.select("item_id", F.coalesce("x", F.lit(0.0)).alias("x")))
+    if items.filter("x > 0").isEmpty():
+        return items.select("item_id", F.lit(0).cast("bigint").alias("cluster"))
+    starts = list(range(seed, seed + restarts))
+    centroids = seed_centroids(counts, items, k, starts, rounds)
+    return _lloyd(counts, items, centroids, k, restarts, max_iter)[1]
+
+
+def _dots(counts: DataFrame, matrix: DataFrame, width: int) -> DataFrame:
+    """(item_id, dots): products of each item with the ``width`` columns of ``matrix`` (token, w array)."""
+    products = [F.sum(F.col("cnt") * F.col("w")[j]) for j in range(width)]
+    return counts.join(matrix, "token").groupBy("item_id").agg(F.array(*products).alias("dots"))
+
+
+def _lengths(matrix: DataFrame, width: int) -> list[float]:
+    row = matrix.agg(*[F.sum(F.col("w")[j] * F.col("w")[j]).alias(f"q{j}") for j in range(width)]).first()
+    return [q or 0.0 for q in row]
+
+
+def _columns(entries: DataFrame, width: int) -> DataFrame:
+    """(token, w) from entries (token, col, value): one array of ``width`` sums for each token."""
+    parts = [F.sum(F.when(F.col("col") == j, F.col("value")).otherwise(0.0)) for j in range(width)]
+    return entries.groupBy("token").agg(F.array(*parts).alias("w"))
+
+
+def _distances(items: DataFrame, dots: DataFrame, lengths: list[float]) -> DataFrame:
+    """``items`` with ``d``: squared distances to each column; an item without a common token has product 0."""
+    q = F.array(*[F.lit(v) for v in lengths])
+    products = F.coalesce("dots", F.array(*[F.lit(0.0)] * len(lengths)))
+    apart = F.zip_with(products, q, lambda p, v: F.greatest(snap(F.col("x") + v - 2 * p), F.lit(0.0)))
+    return items.join(dots, "item_id", "left").withColumn("d", apart).drop("dots")
+
+
+def _nearest(first: int, columns: list[int]) -> Column:
+    """(distance, place in ``columns``) of the nearest of some columns of ``d``, numbered from ``first``."""
+    return F.array_min(F.array(*[F.struct(F.col("d")[j].alias("d"), F.lit(first + n).cast("bigint").alias("c")) for n, j in enumerate(columns)]))
+
+
+def seed_centroids(counts: DataFrame, items: DataFrame, k: int, starts: list[int], rounds: int = 5) -> DataFrame:
+    """(token, w) with k seeds for each start: k-means|| on tables.
+
+    In every round each item becomes a candidate with a probability in proportion to its squared distance
+    from the candidates so far, 2 k of them on average; candidates of all starts are measured by one join. Then a candidate
+    weighs as many items as are nearest to it, and the driver clusters the weighted candidates by
+    their dot products alone (about 2 k * rounds of them a start, whatever the input). Seeds are weighted means of candidates.
+    """
+    spark = counts.sparkSession
+    kept: list[tuple[int, int]] = []  # candidates: start, item
+    state: DataFrame | None = None
+    full = items.filter("x > 0")
+    new = []
+    for s in starts:
+        order = [seeded_hash(F.col("item_id"), F.lit(s), 29), F.col("item_id")]
+        new.append((s, full.orderBy(*order).first().item_id))
+    for turn in range(rounds + 1):
+        chosen = spark.createDataFrame([(i, c) for c, (_, i) in enumerate(new)], "item_id bigint, col int")
+        matrix = durable(_columns(counts.join(chosen, "item_id").select("token", "col", F.col("cnt").alias("value")), len(new)))
+        measured = _distances(items, _dots(counts, matrix, len(new)), _lengths(matrix, len(new)))
+        near = []
+        for n, s in enumerate(starts):
+            columns = [j for j, (t, _) in enumerate(new) if t == s]
+            found = _nearest(len(kept) + columns[0], columns) if columns else F.lit(None)
+            near.append((F.least(found, F.col(f"n{n}")) if state is not None and columns else found if columns else F.col(f"n{n}")).alias(f"n{n}"))
+        old = measured if state is None else measured.join(state, "item_id")
+        state = durable(old.select("item_id", *near))
+        kept += new
+        if turn == rounds:
+            break
+        totals = state.agg(*[F.sum(F.col(f"n{n}.d")).alias(f"t{n}") for n in range(len(starts))]).first()
+        new = []
+        for n, s in enumerate(starts):
+            if totals[n]:
+                chance = (seeded_hash(F.col("item_id"), F.lit(turn), s + 31) + F.lit(0.5)) / F.lit(float(MODULUS))
+                drawn = state.filter(chance < F.lit(2.0 * k / totals[n]) * F.col(f"n{n}.d")).select("item_id")
+                new += [(s, i) for (i,) in sorted(drawn.collect())]
+        if not new:
+            break
+    chosen = spark.createDataFrame([(i, c) for c, (_, i) in enumerate(kept)], "item_id bigint, col int")
+    entries = durable(counts.join(chosen, "item_id").select("token", "col", F.col("cnt").alias("value")))
+    gram = np.zeros((len(kept), len(kept)))
+    both = entries.join(entries.toDF("token", "other", "times"), "token").groupBy("col", "other").agg(F.sum(F.col("value") * F.col("times")).alias("g"))
+    for r in both.collect():
+        gram[r["col"], r.other] = r.g
+    share: list[tuple[int, int, float]] = []  # candidate, seed, weight in it
+    for n, s in enumerate(starts):
+        own = [c for c, (t, _) in enumerate(kept) if t == s]
+        weight = dict(map(tuple, state.groupBy(f"n{n}.c").count().collect()))
+        w = np.array([weight.get(c, 0) for c in own], float)
+        for c, group, part in zip(own, *_recluster(gram[np.ix_(own, own)], w, k, s), strict=True):
+            if part > 0:
+                share.append((c, n * k + group, part))
+    shares = spark.createDataFrame(share, "col int, seed int, part double")
+    means = entries.join(shares, "col").select("token", F.col("seed").alias("col"), (F.col("value") * F.col("part")).alias("value"))
+    return durable(_columns(means, len(starts) * k))
+
+
+def _recluster(gram: np.ndarray, weight: np.ndarray, k: int, seed: int) -> tuple[list[int], list[float]]:
+    """Group of each weighted point and its share of the group's mean, from dot products alone.
+
+    Greedy k-means++ seeds, then weighted steps to a fixed point.
+    """
+    r, n = np.random.default_rng(seed), len(gram)
+    square = np.diag(gram)
+    apart = np.maximum(square[:, None] + square - 2 * gram, 0)
+    weight = np.where(weight.sum() > 0, weight, 1.0)
+    picks = [int(r.choice(n, p=weight / weight.sum()))]
+    nearest = apart[picks[0]]
+    while len(picks) < k and (weight * nearest).sum() > 0:
+        odds = weight * nearest
+        tries = r.choice(n, 2 + int(np.log(k)), p=odds / odds.sum())
+        best = min(tries.tolist(), key=lambda t: (weight * np.minimum(nearest, apart[t])).sum())
+        picks.append(best)
+        nearest = np.minimum(nearest, apart[best])
+    group = apart[:, picks].argmin(1)
+    for _ in range(100):
+        member = np.equal.outer(np.arange(len(picks)), group) * weight
+        total = member.sum(1, keepdims=True)
+        member = np.divide(member, total, out=np.zeros_like(member), where=total > 0)
+        inner = member @ gram
+        distance = np.where(total > 0, (inner * member).sum(1, keepdims=True) - 2 * inner, np.inf)
+        moved = distance.argmin(0)
+        if (moved == group).all():
+            break
+        group = moved
+    total = np.bincount(group, weight, minlength=k).tolist()
+    return group.tolist(), [w / total[g] if total[g] else 0.0 for w, g in zip(weight.tolist(), group.tolist(), strict=True)]
+
+
+def _lloyd(counts: DataFrame, items: DataFrame, centroids: DataFrame, k: int, starts: int, max_iter: int) -> tuple[float, DataFrame]:
+    """Cost and clusters ``(item_id, cluster)`` of the cheapest start; all starts move together until each stands still."""
+    moving = list(range(starts))
+    before: dict[int, int] = {}
     best: tuple[float, DataFrame] | None = None
-    for start in range(seed, seed + restarts):
-        cost, found = _lloyd(counts, items, k, max_iter, start)
-        if best is None or cost < best[0]:
-            best = cost, found
-    return best[1].select("item_id", "cluster")
-
-
-def _lloyd(counts: DataFrame, items: DataFrame, k: int, max_iter: int, start: int) -> tuple[float, DataFrame]:
-    """Cost and assignment ``(item_id, cluster, d)`` from one seeded start."""
-    order = [seeded_hash(F.col("item_id"), F.lit(start), 29), F.col("item_id")]
-    first = items.filter("x > 0").orderBy(*order).limit(k)
-    numbered = first.select("item_id", (F.row_number().over(W.orderBy(*order)) - 1).cast("bigint").alias("cluster"))  # k rows
-    centroids = durable(counts.join(numbered, "item_id").select("cluster", "token", F.col("cnt").cast("double").alias("w")))
-    before, cost = None, float("inf")
-    for _ in range(max_iter):
-        lengths = centroids.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("q"))
-        dots = counts.join(centroids, "token").groupBy("item_id", "cluster").agg(F.sum(F.col("cnt") * F.col("w")).alias("dot"))
-        near = dots.join(lengths, "cluster").select("item_id", "cluster", snap(F.col("q") - 2 * F.col("dot")).alias("d"))
-        shortest = lengths.orderBy("q", "cluster").first()  # the nearest to an item that shares no token
-        if shortest is None:
-            return 0.0, items.select("item_id", F.lit(0).cast("bigint").alias("cluster"), F.lit(0.0).alias("d"))
-        far = items.select("item_id", F.lit(shortest.cluster).alias("cluster"), snap(F.lit(shortest.q)).alias("d"))
-        nearest = near.union(far).groupBy("item_id").agg(F.min(F.struct("d", "cluster")).alias("m"))
-        assigned = durable(nearest.join(items, "item_id").select("item_id", F.col("m.cluster").alias("cluster"), (F.col("m.d") + F.col("x")).alias("d")))
-        state = assigned.agg(F.sum("d"), F.sum(F.xxhash64("item_id", "cluster").cast("decimal(38,0)"))).first()
-        cost = state[0] or 0.0
-        if state[1] == before:
+    for turn in range(max_iter):
+        width = len(moving) * k
+        measured = _distances(items, _dots(counts, centroids, width), _lengths(centroids, width))
+        near = [_nearest(0, list(range(n * k, n * k + k))).alias(f"n{n}") for n in range(len(moving))]
+        assigned = durable(measured.select("item_id", *near))
+        told = []
+        for n in range(len(moving)):
+            told += [F.sum(f"n{n}.d").alias(f"cost{n}"), F.sum(F.xxhash64("item_id", f"n{n}.c").cast("decimal(38,0)")).alias(f"state{n}")]
+            told += [F.count_if(F.col(f"n{n}.c") == c).alias(f"size{n}_{c}") for c in range(k)]
+        seen = assigned.agg(*told).first()
+        still = [n for n, s in enumerate(moving) if before.get(s) == seen[f"state{n}"] or turn == max_iter - 1]
+        for n in still:
+            if best is None or seen[f"cost{n}"] < best[0]:
+                best = seen[f"cost{n}"], assigned.select("item_id", F.col(f"n{n}.c").alias("cluster"))
+        go = [n for n in range(len(moving)) if n not in still]
+        if not go:
             break
-        before = state[1]
-        sizes = assigned.groupBy("cluster").agg(F.count("*").alias("n"))
-        sums = counts.join(assigned, "item_id").groupBy("cluster", "token").agg(F.sum("cnt").alias("s"))
-        moved = sums.join(sizes, "cluster").select("cluster", "token", (F.col("s") / F.col("n")).alias("w"))
-        centroids = durable(moved.union(centroids.join(sizes.select("cluster"), "cluster", "left_anti")))
-    return cost, assigned
+        before = {moving[n]: seen[f"state{n}"] for n in go}
+        sizes = [[seen[f"size{n}_{c}"] for c in range(k)] for n in go]
+        sums = counts.join(assigned, "item_id").groupBy("token").agg(
+            F.array(*[F.sum(F.when(F.col(f"n{n}.c") == c, F.col("cnt")).otherwise(0.0)) for n in go for c in range(k)]).alias("s")
+        )
+        flat = [m for each in sizes for m in each]
+        w = F.zip_with("s", F.array(*[F.lit(float(m or 1)) for m in flat]), lambda a, m: a / m)
+        if 0 in flat:
+            old = F.array(*[F.col("w")[n * k + c] if sizes[g][c] == 0 else F.lit(0.0) for g, n in enumerate(go) for c in range(k)])
+            zero = F.array(*[F.lit(0.0)] * len(flat))
+            w = F.zip_with(F.coalesce(w, zero), F.coalesce(old, zero), lambda a, o: a + o)
+            sums = sums.join(centroids, "token", "full")
+        centroids = durable(sums.select("token", w.alias("w")))
+        moving = [moving[n] for n in go]
+    return best
 
 
 def item_clusters(items: DataFrame, k: int, restarts: int = 10) -> DataFrame:

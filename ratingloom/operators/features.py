@@ -11,6 +11,21 @@ from ratingloom.sources.readers import clean_ids, first_values, outer_join_all
 FEATURES = ["overview", "tagline", "keywords", "cast", "genres"]
 
 
+TASK_BYTES = 1 << 20  # of a small table that one task should read
+SPLIT_BYTES = 128 << 20  # a table of more than this for each core is split by its files alone
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small table dealt to all cores before they are worked on.
+
+    A file is split between row groups only, so a table in one group would be tokenised by one task. A large table
+    has tasks enough and is not moved. Results do not depend on it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df if size > cores * SPLIT_BYTES else df.repartition(max(1, min(cores, -(-size // TASK_BYTES))))
+
+
 def merge_metadata(meta: DataFrame, keywords: DataFrame, credits: DataFrame) -> DataFrame:
     """One row per digit-only id: the first non-null value of every column of each frame, in
     the order of its ``ord``, then a full outer join."""
@@ -28,7 +43,8 @@ def key_words(df: DataFrame, ident: str, text: Column, n: int) -> DataFrame:
     The degree of a word is the sum of the lengths of the phrases it occurs in.
     Every occurrence counts; ties go to the smaller word.
     """
-    words = df.select(ident, F.explode(X.phrase_words(F.coalesce(text, F.lit("")))).alias("w"))
+    rows = spread(df.select(ident, F.coalesce(text, F.lit("")).alias("_text")))
+    words = rows.select(ident, F.explode(X.phrase_words(F.col("_text"))).alias("w"))
     degrees = words.groupBy(ident, F.col("w.word").alias("word")).agg(F.sum("w.degree").alias("degree"))
     return top_n(degrees, n, [F.col("degree").desc(), F.col("word").asc()], ident)
 
@@ -61,7 +77,8 @@ def combined_features(merged: DataFrame, unique: bool = False) -> DataFrame:
 def bag_of_words(df: DataFrame, ident: str, text: str) -> DataFrame:
     """Token counts per item: ``(ident, token, cnt)``."""
     return (
-        df.select(ident, F.explode(X.tokens(F.col(text))).alias("token"))
+        spread(df.select(ident, text))
+        .select(ident, F.explode(X.tokens(F.col(text))).alias("token"))
         .groupBy(ident, "token")
         .agg(F.count("*").alias("cnt"))
     )

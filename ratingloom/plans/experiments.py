@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ratingloom.functions.numeric import snap
-from ratingloom.operators import cf, cluster, content, hybrid, knn
+from ratingloom.operators import cf, cluster, content, hybrid, knn, learned, rules, sequence, strata, svd
 from ratingloom.plans import metrics, split
+from ratingloom.sources.durable import durable
 
 Recommender = Callable[[DataFrame], DataFrame]
 
@@ -41,6 +42,35 @@ def offline_comparison(ratings: DataFrame, bow: DataFrame, items: DataFrame, thr
     return metrics.compare(methods, rated)
 
 
+def all_methods(
+    ratings: DataFrame, events: DataFrame, bow: DataFrame, items: DataFrame, clusters: DataFrame, vectors: DataFrame,
+    support: float, confidence: float, threshold: float | None = None, n: int = LIST_LENGTH,
+) -> DataFrame:
+    """Hits of every method on one leave-one-out split; ``events`` of held-out (user, item) pairs take part in no fit."""
+    rated = durable(split.leave_one_out(ratings, threshold=threshold))
+    train = durable(rated.filter(~F.col("is_test")))
+    paths = durable(events.join(metrics.test_rows(rated), ["user_id", "item_id"], "left_anti"))
+    mined = rules.association_rules(rules.frequent_itemsets(train, support), confidence)
+    factors = svd.truncated_svd(train, 16)
+    assigned, centers = cluster.user_clusters(train, vectors)
+    methods = {
+        "memory_cf": cf.memory_cf(rated, n),
+        "svd": svd.factor_recs(factors.users, factors.items, train, n),
+        "als": learned.latent_factor_recs(train, n),
+        "ranking_factors": strata.ranking_recs(train, n),
+        "user_knn": knn.user_knn(rated, n),
+        "item_knn": knn.item_knn(train, bow, items, n, 5),
+        "weighted_profile": content.weighted_profile(train, bow, items, n),
+        "rules": rules.rule_recs(train, mined, n),
+        "item_clusters_sampled": cluster.cluster_sample_recs(train, clusters, n),
+        "item_clusters_popular": cluster.cluster_popular_recs(train, clusters, n),
+        "user_clusters": cluster.user_cluster_recs(assigned, centers, train, vectors, n),
+        "markov": sequence.markov_recs(paths, n),
+        "trajectory": sequence.trajectory_recs(paths, vectors, n),
+    }
+    return metrics.compare(methods, rated)
+
+
 def neighbor_grid(ratings: DataFrame, similarities: list[str], thresholds: list[float | None], n: int = LIST_LENGTH) -> DataFrame:
     """Hits of user-kNN for each similarity and each threshold of the test pick."""
     runs = []

@@ -241,6 +241,25 @@ def _negatives() -> str:
   ng AS (SELECT user_id, item_id, CAST(0 AS DOUBLE) AS label FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY step) AS rn FROM mt) WHERE rn<=c)"""
 
 
+def cluster_samples(train: str, exponential: bool, n: int, runs: str = "range(1)") -> str:
+    """Items drawn from a user's clusters: seeded walks around rings of prime size, arrival times from seeded uniforms."""
+    weight = "pow(2.0, 1.0+5.0*rating)" if exponential else "rating"
+    return f"""cw AS (SELECT user_id, cluster, count(*) AS rated, sum({weight}) AS wt FROM {train} JOIN cl USING (item_id) GROUP BY 1,2),
+  cpb AS (SELECT user_id, cluster, rated, {r6('wt/sum(wt) OVER (PARTITION BY user_id)')} AS p FROM cw),
+  cring AS (SELECT cluster, item_id, row_number() OVER (PARTITION BY cluster ORDER BY {h('item_id', 'cluster', '17')}, item_id) AS pos FROM cl),
+  csz AS (SELECT cluster, max(pos) AS m FROM cring GROUP BY 1),
+  cpz AS (SELECT cluster, m, min(q) AS ps FROM (SELECT cluster, m, unnest(range(greatest(m,2), 2*m+3)) AS q FROM csz)
+    WHERE len(list_filter(range(2, CAST(floor(sqrt(q)) AS BIGINT)+1), lambda d: q % d = 0))=0 GROUP BY 1,2),
+  cwk AS (SELECT user_id, cluster, p, m, ps, seed, {h('user_id', 'cluster', 'seed')} % ps AS o, {h('cluster', 'user_id', 'seed+1')} % (ps-1) + 1 AS st,
+      {h('user_id', 'cluster', '5')} AS pair, least(ps, {n}+rated+ps-m) AS need
+    FROM cpb JOIN cpz USING (cluster) CROSS JOIN (SELECT unnest({runs}) AS seed) WHERE p>0),
+  cst AS (SELECT *, (o + step*st) % ps + 1 AS pos FROM (SELECT *, unnest(range(CAST(need AS BIGINT))) AS step FROM cwk)),
+  cnt AS (SELECT *, row_number() OVER (PARTITION BY user_id, seed, cluster ORDER BY step)-1 AS nth FROM cst WHERE pos<=m),
+  ctm AS (SELECT *, sum(-ln(({h('pair', 'nth', 'seed+3')}+0.5::DOUBLE)/{MODULUS}.0::DOUBLE)*m/((m-nth)*p)) OVER (PARTITION BY user_id, seed, cluster ORDER BY step) AS t FROM cnt),
+  cdr AS (SELECT ctm.user_id, seed, item_id, t FROM ctm JOIN cring USING (cluster, pos) ANTI JOIN {train} s ON s.user_id=ctm.user_id AND s.item_id=cring.item_id),
+  csm AS (SELECT user_id, seed, item_id, -t AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY user_id, seed ORDER BY t, item_id) AS rank FROM cdr) WHERE rank<={n})"""
+
+
 RECS = "user_id, item_id, score, rank"
 HITS = "CAST(count(h.item_id) AS BIGINT) AS hits, count(*) AS users, " + r6("CAST(count(h.item_id) AS DOUBLE)/count(*)") + " AS rate"
 
@@ -292,6 +311,13 @@ def sql() -> dict[str, str]:
     stats = f"st AS (SELECT item_id, count(*) AS n_ratings, {r6('avg(rating)')} AS mean_rating FROM pu GROUP BY 1)"
     q["most_rated_items"] = w(PU, stats, "SELECT * FROM st ORDER BY n_ratings DESC, item_id LIMIT 10")
     q["top_rated_items"] = w(PU, stats, "SELECT * FROM st ORDER BY mean_rating DESC, item_id LIMIT 10")
+    q["distinct_by_month"] = w(
+        EV, "SELECT strftime(ts, '%Y-%m') AS period, count(DISTINCT user_id) AS user_id, count(DISTINCT item_id) AS item_id, "
+        "TRUE AS user_id_within, TRUE AS item_id_within FROM ev GROUP BY 1"
+    )
+    q["bucketed_history"] = w(
+        RT, "SELECT user_id, item_id, rating, count(*) OVER u AS n_ratings, sum(rating) OVER u AS rating_sum FROM rt WINDOW u AS (PARTITION BY user_id)"
+    )
     q["rating_profile"] = w(
         EV, "SELECT count(user_id) AS n_user_id, count(item_id) AS n_item_id, count(rating) AS n_rating, count(ts) AS n_ts, count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items FROM ev"
     )
@@ -333,15 +359,25 @@ def sql() -> dict[str, str]:
     def elements(x: str) -> str:
         return f"nullif(array_to_string(list_transform({names(x)}, lambda v: replace(lower({strip('v')}),' ','')), ' '), '')"
 
-    q["combined_features"] = w(
+    combined = (
         META, FIRST, merged, rake("ov", "mg", "id", "coalesce(overview,'')", 7), rake("tg", "mg", "id", "coalesce(tagline,'')", 3),
         "ovs AS (SELECT id, string_agg(word,' ' ORDER BY rank) AS overview FROM ov GROUP BY 1)",
         "tgs AS (SELECT id, string_agg(word,' ' ORDER BY rank) AS tagline FROM tg GROUP BY 1)",
         f"k2 AS (SELECT id, regexp_split_to_array(lower({strip('array_to_string(' + names('keywords') + ', chr(10))')}), '\\s+') AS ws FROM kwf)",
         "kws AS (" + ordered_words("k2", "id", "keywords") + ")",
-        f"""SELECT mg.id, mg.title, concat_ws(' ', ovs.overview, tgs.tagline, kws.keywords, {elements('mg.cast_list')}, {elements('mg.genres')}) AS combined
-          FROM mg LEFT JOIN ovs USING (id) LEFT JOIN tgs USING (id) LEFT JOIN kws USING (id)""",
+        f"""cf AS (SELECT mg.id, mg.title, concat_ws(' ', ovs.overview, tgs.tagline, kws.keywords, {elements('mg.cast_list')}, {elements('mg.genres')}) AS combined
+          FROM mg LEFT JOIN ovs USING (id) LEFT JOIN tgs USING (id) LEFT JOIN kws USING (id))""",
     )
+    q["combined_features"] = w(*combined, "SELECT id, title, combined FROM cf")
+    feature_bow = (
+        f"bow AS (SELECT id AS item_id, token, count(*) AS cnt FROM (SELECT id, unnest(regexp_extract_all(lower(combined), '{TOKEN}')) AS token FROM cf) GROUP BY 1,2)",
+        "voc AS (SELECT token FROM bow GROUP BY 1 HAVING count(*)>=3), bv AS (SELECT item_id, token, cnt FROM bow SEMI JOIN voc USING (token))",
+    )
+    q["similar_feature_items"] = w(
+        *combined, *feature_bow, ITEM_SIM, f"x AS (SELECT i AS item_id, j AS similar_id, {r6('s')} AS score FROM isim)",
+        f"SELECT item_id, similar_id, score, rank FROM ({top('x', 3, 'score DESC, similar_id', 'item_id')})",
+    )
+    q["feature_profile_recs"] = w(RT, *combined, *feature_bow, weighted_profile("rt", 10), f"SELECT {RECS} FROM wp")
     q["feature_sink"] = q["combined_features"]
     q["bag_of_words"] = w(BOW, "SELECT item_id AS doc_id, token, cnt FROM bow")
     summary = "count(*) FILTER (WHERE s>0) AS n_similar, " + r6("sum(s)") + " AS sim_sum, " + r6("max(s)") + " AS sim_max"
@@ -423,6 +459,12 @@ def sql() -> dict[str, str]:
         f"SELECT user_id, cluster, rated, {r6('l/sum(l) OVER (PARTITION BY user_id)')} AS p_linear, {r6('e/sum(e) OVER (PARTITION BY user_id)')} AS p_exponential FROM x",
     )
     q["cluster_popular_recs"] = w(RT, CL, cluster_popular("rt", 10), f"SELECT user_id, item_id, {r6('score')} AS score, rank FROM cp")
+    for name, exponential in (("cluster_sample_recs", False), ("cluster_sample_exponential_recs", True)):
+        q[name] = w(RT, CL, cluster_samples("rt", exponential, 10), f"SELECT user_id, item_id, {r6('score')} AS score, rank FROM csm")
+    q["hit_rate_repeated"] = w(
+        RT, NEWEST, CL, cluster_samples("tr", False, 30, "range(10)"),
+        f"SELECT {r6('count(*)/10.0::DOUBLE')} AS mean_hits FROM csm SEMI JOIN te ON te.user_id=csm.user_id AND te.item_id=csm.item_id",
+    )
     q["markov_transitions"] = w(EV, NEXT, f"SELECT item_id, next_item, cnt, {r6('probability')} AS probability FROM tp")
     q["markov_recs"] = w(
         EV, NEXT, "la AS (SELECT user_id, arg_max(item_id,(ts,event_id)) AS last FROM ev GROUP BY 1)",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ratingloom.functions import text as X
 from ratingloom.functions.numeric import snap
 from ratingloom.operators import (
-    cf, cluster, content, features, hybrid, knn, learned, rank, rules, sequence, similarity, svd,
+    cf, cluster, content, features, hybrid, knn, learned, rank, recommender, rules, sequence, similarity, sketches, strata, svd,
 )
 from ratingloom.plans import experiments, metrics, split
 from ratingloom.sources import readers, sinks, tables as T
@@ -23,6 +23,7 @@ N = 10  # length of a registered recommendation list
 # The usual setting of the rule method.
 SUPPORT = 0.15
 CONFIDENCE = 0.2
+BUCKETS = 8  # of the registered bucketed tables
 
 
 def query(fn: Query) -> Query:
@@ -96,6 +97,26 @@ def model_roundtrip(spark, d):
     return svd.factor_recs(model["users"], model["items"], ratings, N)
 
 
+@query
+def estimator_roundtrip(spark, d):
+    """A recommender fitted on the training rows, saved, loaded and asked for the held-out rows."""
+    rated = split.leave_one_out(_ratings(spark, d))
+    path = f"{shared_folder(spark)}/recommender-{uuid.uuid4().hex}"
+    recommender.FactorRecommender(method="ranking", rank=8).fit(rated.filter(~F.col("is_test"))).save(path)
+    scored = recommender.FactorModel.load(path).transform(rated.filter("is_test"))
+    return scored.select("user_id", "item_id", "rating", snap(F.col("prediction")).alias("predicted"))
+
+
+@query
+def bucketed_history(spark, d):
+    """Ratings and users' totals in tables bucketed by user, joined without a shuffle."""
+    tag, folder = uuid.uuid4().hex, shared_folder(spark)
+    ratings = T.ratings(spark, d).select("user_id", "item_id", "rating")
+    rows = sinks.save_bucketed(ratings, f"ratings_{tag}", "user_id", BUCKETS, folder)
+    totals = rows.groupBy("user_id").agg(F.count("*").alias("n_ratings"), F.sum("rating").alias("rating_sum"))
+    return rows.join(totals, "user_id").select("user_id", "item_id", "rating", "n_ratings", "rating_sum")
+
+
 # --- projections, filters ---------------------------------------------------
 
 
@@ -223,6 +244,15 @@ def rating_profile(spark, d):
     )
 
 
+@query
+def distinct_by_month(spark, d):
+    """Users and items of each month, exact, and whether sketches merged from stored days agree."""
+    events, ids = T.rating_events(spark, d), ["user_id", "item_id"]
+    stored = durable(sketches.daily_sketches(events, ids))
+    estimates = sketches.merged(stored, ids, F.date_format("day", "yyyy-MM"))
+    return sketches.checked(events, estimates, ids, F.date_format("ts", "yyyy-MM"), sketches.error_bound())
+
+
 @query
 def dedup_catalog(spark, d):
     meta = readers.clean_ids(T.raw_metadata(spark, d)["meta"])
@@ -385,6 +415,39 @@ def similar_items_report(spark, d):
     return content.similar_items_report(_bow(spark, d), _titles(spark, d), 3, 30)
 
 
+def _feature_bow(spark, d):
+    """Token counts of the combined features: the way from raw metadata to the content methods."""
+    combined = features.combined_features(_merged(spark, d)).select(F.col("id").alias("item_id"), "combined")
+    return durable(features.in_vocabulary(durable(features.bag_of_words(combined, "item_id", "combined")), 3))
+
+
+@query
+def similar_feature_items(spark, d):
+    return content.similar_items(_feature_bow(spark, d), 3)
+
+
+@query
+def feature_profile_recs(spark, d):
+    bow = _feature_bow(spark, d)
+    return content.weighted_profile(_ratings(spark, d), bow, bow.select("item_id").distinct(), N)
+
+
+@query
+def fitted_cluster_recs(spark, d):
+    """The three item-cluster recommenders on clusters fitted to the token counts."""
+    ratings, docs = _ratings(spark, d), T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
+    fitted = durable(cluster.text_clusters(docs, X.tokens(F.col("text")), 10))
+    popularity = ratings.groupBy("item_id").agg(F.count("*").cast("double").alias("popularity"))
+    lists = durable(fitted.join(popularity, "item_id", "left").select("item_id", "cluster", F.coalesce("popularity", F.lit(0.0)).alias("popularity")))
+    made = {
+        "linear": cluster.cluster_sample_recs(ratings, lists, N),
+        "exponential": cluster.cluster_sample_recs(ratings, lists, N, exponential=True),
+        "popularity": cluster.cluster_popular_recs(ratings, lists, N),
+    }
+    named = [r.select(F.lit(name).alias("selection"), "user_id", "item_id", snap(F.col("score")).alias("score"), "rank") for name, r in made.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 @query
 def user_profile(spark, d):
     return content.user_profile(_ratings(spark, d), _bow(spark, d))
@@ -526,17 +589,19 @@ def item_clusters(spark, d):
 @query
 def item_text_clusters(spark, d):
     docs = T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
-    return cluster.text_clusters(docs, X.tokens(F.col("text")), 10, restarts=1)
+    return cluster.text_clusters(docs, X.tokens(F.col("text")), 10)
 
 
 @query
 def cluster_sample_recs(spark, d):
-    return cluster.cluster_sample_recs(_ratings(spark, d), T.clusters(spark, d), N)
+    recs = cluster.cluster_sample_recs(_ratings(spark, d), T.clusters(spark, d), N)
+    return recs.withColumn("score", snap(F.col("score")))
 
 
 @query
 def cluster_sample_exponential_recs(spark, d):
-    return cluster.cluster_sample_recs(_ratings(spark, d), T.clusters(spark, d), N, exponential=True)
+    recs = cluster.cluster_sample_recs(_ratings(spark, d), T.clusters(spark, d), N, exponential=True)
+    return recs.withColumn("score", snap(F.col("score")))
 
 
 @query
@@ -573,7 +638,7 @@ def trajectory_recs(spark, d):
 @query
 def w2v_recs(spark, d):
     events = T.rating_events(spark, d)
-    return sequence.trajectory_recs(events, sequence.item_embeddings(events), N)
+    return sequence.trajectory_recs(events, strata.item_embeddings(events), N)
 
 
 @query
@@ -591,6 +656,18 @@ def latent_factor_recs(spark, d):
     return learned.latent_factor_recs(_ratings(spark, d), N)
 
 
+@query
+def ranking_factor_recs(spark, d):
+    return strata.ranking_recs(_ratings(spark, d), N)
+
+
+@query
+def content_text_recs(spark, d):
+    """The content regression on hashed token counts, its penalty chosen on held-out rows."""
+    items = durable(features.hashed_vectors(_all_items(spark, d), _bow(spark, d)))
+    return learned.content_regression_recs(_ratings(spark, d), items, N, penalties=[1e-4, 1e-2])
+
+
 @query
 def content_regression_recs(spark, d):
     return learned.content_regression_recs(_ratings(spark, d), T.vectors(spark, d), N)
@@ -639,6 +716,14 @@ def method_comparison(spark, d):
     return experiments.offline_comparison(_ratings(spark, d), _bow(spark, d), _all_items(spark, d))
 
 
+@query
+def all_methods(spark, d):
+    """Leave-one-out hits of every method, each fitted on the training rows."""
+    return experiments.all_methods(
+        _ratings(spark, d), T.rating_events(spark, d), _bow(spark, d), _all_items(spark, d), T.clusters(spark, d), T.vectors(spark, d), SUPPORT, CONFIDENCE
+    )
+
+
 @query
 def hit_rate_item_grid(spark, d):
     return experiments.item_neighbor_grid(

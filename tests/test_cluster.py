@@ -126,3 +126,34 @@ def test_every_text_its_own_cluster(spark):
     docs = spark.createDataFrame([(1, "a a b"), (2, "a c"), (3, "a b")], "item_id bigint, text string")
     groups = dict(rows(cluster.text_clusters(docs, F.split("text", " "), 3, 1, restarts=1), "item_id", "cluster"))
     assert len(set(groups.values())) == 3
+
+
+def test_text_cluster_cost_equals_that_of_the_library(spark):
+    """On overlapping topics, where a poor start ends in a poor fixed point."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(12)
+    words = np.array([f"w{i}" for i in range(60)])
+    mix = rng.dirichlet(np.full(60, 0.08), 9)
+    texts = [" ".join(rng.choice(words, int(rng.integers(5, 40)), p=mix[i % 9])) for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    got = dict(rows(cluster.text_clusters(docs, F.split("text", " "), 7, 1, restarts=4), "item_id", "cluster"))
+    x = np.array([[t.split(" ").count(w) for w in words] for t in texts], float)
+    labels = np.array([got[i] for i in range(len(texts))])
+    cost = sum(((x[labels == c] - x[labels == c].mean(0)) ** 2).sum() for c in set(labels))
+    frame = spark.createDataFrame([(Vectors.dense(v),) for v in x], ["features"]).coalesce(1).persist()
+    library = min(KMeans(k=7, seed=s, maxIter=500, tol=0.0).fit(frame).summary.trainingCost for s in range(10))
+    assert cost <= 1.01 * library
+    again = dict(rows(cluster.text_clusters(docs.repartition(7), F.split("text", " "), 7, 1, restarts=4), "item_id", "cluster"))
+    assert again == got
+
+
+def test_reclustering_knows_only_products():
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(c, 0.1, (20, 3)) for c in (0, 4, 9)])
+    weight = rng.integers(1, 5, 60).astype(float)
+    group, share = cluster._recluster(x @ x.T, weight, 3, 0)
+    assert sorted(len(set(group[a : a + 20])) for a in (0, 20, 40)) == [1, 1, 1] and len(set(group)) == 3
+    assert np.allclose(np.bincount(group, share), 1)
+    assert cluster._recluster(np.ones((4, 4)), np.zeros(4), 3, 0)[1] == [0.25] * 4  # equal points
