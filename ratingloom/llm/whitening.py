@@ -20,12 +20,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg import Matrices
-from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import pyarrow as pa
+from pyspark.mllib.linalg import DenseMatrix
+from pyspark.mllib.linalg.distributed import BlockMatrix
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratingloom.llm.common import release
 from ratingloom.sources.durable import durable
@@ -63,10 +61,27 @@ def indexed(rows: DataFrame) -> DataFrame:
     return spread.withColumn("idx", F.col("_part").cast("bigint") * F.lit((stretch or 0) + 1) + F.col("_row")).drop("_part", "_row")
 
 
-def block_matrix(rows: DataFrame) -> BlockMatrix:
-    """A block matrix of ``rows`` (idx, values array<double>), built in the JVM; indices without a row are zero."""
-    vectors = MLUtils.convertVectorColumnsFromML(rows.select("idx", array_to_vector("values").alias("v")), "v")
-    return IndexedRowMatrix(vectors).toBlockMatrix(BLOCK, BLOCK)
+def block_matrix(rows: DataFrame, width: int) -> BlockMatrix:
+    """A block matrix of ``rows`` (idx, values array<double> of ``width``); indices without a row are zero.
+
+    Rows of a block meet in one task, which hands on the block as bytes.
+    """
+
+    def gather(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        dense = np.zeros((BLOCK, width))
+        dense[t.column("idx").to_numpy() % BLOCK] = t.column("values").combine_chunks().flatten().to_numpy().reshape(-1, width)
+        return pa.table({"block": [key[0]], "dense": pa.array([dense.tobytes("F")], pa.binary())})
+
+    block = F.floor(F.col("idx") / BLOCK).cast("bigint").alias("block")
+    dense = rows.select(block, "idx", "values").groupBy("block").applyInArrow(gather, "block bigint, dense binary")
+    cuts = [(c, min(BLOCK, width - c)) for c in range(0, width, BLOCK)]
+
+    def cut(r) -> list:
+        whole = np.frombuffer(r.dense)
+        return [((r.block, c // BLOCK), DenseMatrix(BLOCK, n, whole[c * BLOCK : (c + n) * BLOCK])) for c, n in cuts]
+
+    last = rows.agg(F.max("idx")).first()[0] or 0
+    return BlockMatrix(dense.rdd.flatMap(cut), BLOCK, BLOCK, (last // BLOCK + 1) * BLOCK, width)
 
 
 def scatter(m: BlockMatrix) -> np.ndarray:
@@ -77,13 +92,16 @@ def scatter(m: BlockMatrix) -> np.ndarray:
     return BlockMatrix(product, BLOCK, BLOCK).toLocalMatrix().toArray()
 
 
-def times(m: BlockMatrix, w: np.ndarray, spark) -> DataFrame:
+def times(m: BlockMatrix, w: np.ndarray, spark: SparkSession) -> DataFrame:
     """(idx, values) of the rows of matrix times ``w``."""
-    parts = [((k, 0), Matrices.dense(len(b), w.shape[1], b.T.ravel().tolist())) for k, b in ((a // BLOCK, w[a : a + BLOCK]) for a in range(0, len(w), BLOCK))]
+    parts = [((a // BLOCK, 0), DenseMatrix(len(w[a : a + BLOCK]), w.shape[1], w[a : a + BLOCK].ravel("F"))) for a in range(0, len(w), BLOCK)]
     right = BlockMatrix(spark.sparkContext.parallelize(parts, 1), BLOCK, w.shape[1])
-    rows = m.multiply(right).toIndexedRowMatrix()
-    found = callMLlibFunc("getIndexedRows", rows._java_matrix_wrapper._java_model).toDF("idx", "v")
-    return found.select("idx", vector_to_array("v").alias("values"))
+
+    def rows(block) -> list:
+        (at, _), matrix = block
+        return [(at * BLOCK + k, v) for k, v in enumerate(matrix.toArray().tolist())]
+
+    return m.multiply(right).blocks.flatMap(rows).toDF("idx bigint, values array<double>")
 
 
 @dataclass
@@ -112,7 +130,7 @@ def fit(rows: DataFrame, components: int = COMPONENTS) -> Fit:
     sums = entries.groupBy("at").agg(F.sum(F.col("x").cast("decimal(19,0)")).alias("s"), F.count("*").alias("n")).orderBy("at").collect()
     n, exact = sums[0].n, [int(r.s) for r in sums]
     mean = np.array([s / n for s in exact])
-    v = scatter(block_matrix(rows.select("idx", centred(F.col("x"), mean).alias("values")))) / n
+    v = scatter(block_matrix(rows.select("idx", centred(F.col("x"), mean).alias("values")), len(exact))) / n
     release(spark)
     values, vectors = np.linalg.eigh((v + v.T) / 2)
     order = np.argsort(-values, kind="stable")[:components]
@@ -129,7 +147,7 @@ def identity_error(projected: DataFrame, found: Fit) -> float | None:
         return None
     k = len(varies)
     mean = projected.agg(*[F.avg(F.col("values")[c]).alias(f"m{c}") for c in range(k)]).first()
-    cov = scatter(block_matrix(projected.select("idx", centred(F.col("values"), np.array([*mean])).alias("values")))) / found.n
+    cov = scatter(block_matrix(projected.select("idx", centred(F.col("values"), np.array([*mean])).alias("values")), k)) / found.n
     return float(np.abs(cov[np.ix_(varies, varies)] - np.eye(varies.sum())).max())
 
 
@@ -164,14 +182,13 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = SCALE,
     distinct = durable(usable.groupBy("x").agg(F.min("idx").alias("idx")))
     release(spark)
     found = fit(distinct, components)
-    projected = durable(times(block_matrix(usable.select("idx", centred(F.col("x"), found.mean).alias("values"))), found.matrix, spark))
+    projected = durable(times(block_matrix(usable.select("idx", centred(F.col("x"), found.mean).alias("values")), width.width), found.matrix, spark))
     release(spark)
     error = identity_error(distinct.select("idx").join(projected, "idx"), found)
     release(spark)
     k = found.matrix.shape[1]
     varies = (np.abs(found.matrix).sum(0) > 0).tolist()
     share = (found.eigenvalues / found.trace).tolist() if found.trace > 0 else [None] * k
-    # a row that is exactly the mean may be left out of a matrix
     told = usable.select("idx", "vec_id", _deviation(F.col("x"), found).alias("deviation")).join(projected, "idx", "left")
     each = F.array(*[
         F.struct(
