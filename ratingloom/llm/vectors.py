@@ -5,9 +5,10 @@ form a product grid of cells. Codebooks are fitted by k-means on at most ``SAMPL
 smallest hashed id; every vector is put into its cell. A vector's near vectors may lie in other cells: cells
 are visited from the nearest on, a multi-sequence walk over the two sorted lists of
 codes by the sum of the squared distances that a point of the cell must at least have. The walk ends where
-``TARGET`` of all neighbours at exactly the wanted cosine have been met; that sum is measured once, on
-sampled vectors turned by the angle in random directions. Nearer neighbours are met more
-often, so the recall over all links is above the target.
+``TARGET`` of all links have been met. That sum is measured twice and the larger one holds: on the true links between
+``QUERIES`` sampled vectors and all vectors, found exactly, and on sampled vectors turned by the wanted angle in random directions, for
+tables in which the sample has few links. ``exact`` visits every cell. The number of codes grows with the
+root of the rows, so that cells do not; the bounded sample bounds it, and crowded cells are cut into blocks anyway.
 
 Each visited cell is a bucket in which visitors meet the members of larger id, so a link is seen once.
 Buckets are cut into blocks of at
@@ -39,6 +40,9 @@ CODES = 32
 ROUNDS = 12
 BLOCK = 1024
 TARGET = 0.995
+QUERIES = 1024  # sampled vectors whose true links are found to measure the walk
+TRUE_TARGET = 0.999  # of those links; they are a sample, so more is asked for
+CELL = 64  # about as many vectors are meant to share a cell
 TURNED = 4000  # sampled vectors that are turned to measure the walk
 
 
@@ -108,6 +112,35 @@ class Grid:
         return np.concatenate(rows), np.concatenate(cells)
 
 
+def codes_for(rows: int, sample: int) -> int:
+    """Codes of each half: their square times ``CELL`` follows the rows, with 8 sampled vectors a code at least."""
+    return max(CODES, min(int((rows / CELL) ** 0.5), sample // 8))
+
+
+def true_reach(classes: DataFrame, sample: np.ndarray, grid: Grid, least: float) -> float:
+    """The sum of squared distances within which ``TRUE_TARGET`` of the true links of some sampled vectors lie; 0 without any."""
+    spark, queries = classes.sparkSession, sample[np.random.default_rng(3).permutation(len(sample))[:QUERIES]]
+    sent = spark.sparkContext.broadcast((queries, grid))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, g = sent.value
+        first, second = g.bounds(asked)
+        k = len(g.books[1])
+        for b in batches:
+            for a in range(0, b.num_rows, 512):
+                x = _matrix(b.column(0).slice(a, 512), min(512, b.num_rows - a))
+                q, at = np.nonzero(asked @ x.T >= least)
+                if len(q):
+                    cell = g.cells(x)[at]
+                    yield pa.RecordBatch.from_arrays([pa.array(first[q, cell // k] + second[q, cell % k])], ["reach"])
+
+    if not len(queries):
+        return 0.0
+    met = classes.select("embedding").mapInArrow(run, "reach double")
+    found = met.agg(F.percentile("reach", F.lit(TRUE_TARGET)).alias("r")).first()
+    return float(found.r or 0.0) * (1 + 1e-9)
+
+
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ y.T + (y * y).sum(1), 0)
 
@@ -209,13 +242,15 @@ def _compare(dealt: DataFrame, least: float) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "kind bigint, a bigint, b bigint")
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.95, exact: bool = False) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding)."""
     classes = durable(_classes(vectors))
     rows = classes.select("embedding", F.xxhash64("vec_id").alias("k"), "vec_id").orderBy("k", "vec_id").limit(SAMPLE).toArrow()
     width = len(rows.column(0)[0]) if rows.num_rows else 1
     sample = _matrix(rows.column(0), rows.num_rows) if rows.num_rows else np.zeros((0, width))
-    dealt = durable(_dealt(classes, Grid.fit(sample, least)))
+    grid = Grid.fit(sample, least, codes_for(classes.count(), len(sample)))
+    grid.reach = float("inf") if exact else max(grid.reach, true_reach(classes, sample, grid, least))
+    dealt = durable(_dealt(classes, grid))
     # members of a cell are cut into blocks, guests too; each pair of a guest block and a member block is one product
     sizes = dealt.groupBy("cell").agg(F.count_if("home").alias("members"), F.count("*").alias("guests"))
     cut = dealt.join(sizes.filter("members > 0"), "cell")

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from ratingloom.llm import vectors as V
 
@@ -38,9 +39,7 @@ def test_links_equal_brute_force_in_small_blocks(spark, monkeypatch):
     want, found = brute(rows), got(V.near_duplicates(frame))
     assert sum(r[1] for r in found) >= 0.99 * sum(r[1] for r in want)
     assert all(f[1] <= w[1] and f[2] >= w[2] for f, w in zip(found, want, strict=True))  # no link too many
-    fit = V.Grid.fit
-    monkeypatch.setattr(V.Grid, "fit", staticmethod(lambda *a: V.Grid(fit(*a).books, reach=9.0)))  # visits every cell
-    assert got(V.near_duplicates(frame)) == want
+    assert got(V.near_duplicates(frame, exact=True)) == want
 
 
 def test_rows_of_every_kind(spark):
@@ -74,11 +73,32 @@ def test_a_spanning_forest_connects_what_the_links_connect():
 
 
 def test_recall_on_the_given_vectors(spark):
-    rows = [(r.vec_id, list(map(float, r.embedding))) for r in spark.read.parquet("/root/testdata/check_s/embeddings.parquet").orderBy("vec_id").limit(3000).collect()]
+    rows = [(r.vec_id, list(map(float, r.embedding))) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect() if r.embedding is not None]
+    r = np.random.default_rng(9)
+    rows += [(1_000_000 + i, (np.array(rows[i * 7 % len(rows)][1]) + r.standard_normal(64) * 0.02).tolist()) for i in range(1000)]
     x = np.array([v for _, v in rows])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     grid = V.Grid.fit(x, 0.95)
     cell = grid.cells(x)
     met = set(zip(*map(np.ndarray.tolist, grid.visited(x)), strict=True))
     pairs = [(a, b) for a, b in np.argwhere(x @ x.T >= 0.95).tolist() if a < b]
-    assert np.mean([(a, cell[b]) in met for a, b in pairs]) >= 0.99
+    assert len(pairs) > 500 and np.mean([(a, cell[b]) in met for a, b in pairs]) >= 0.99
+
+
+@pytest.mark.parametrize(("width", "rank", "decay"), [(64, 3, 0), (64, 8, 0), (256, 3, 0), (256, 6, 0), (64, None, 1.5), (256, None, 1.0)])
+def test_recall_where_vectors_differ_in_few_directions(spark, width, rank, decay):
+    """Neighbours that differ along the directions that also part the codes: the walk must reach further."""
+    r = np.random.default_rng(width)
+    if rank:
+        x = r.standard_normal((3000, rank)) @ r.standard_normal((rank, width))
+    else:
+        x = r.standard_normal((3000, width)) * (np.arange(1, width + 1) ** -decay)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    want, found = brute(rows), got(V.near_duplicates(frame))
+    assert sum(w[1] for w in want) > 100 and sum(f[1] for f in found) >= 0.99 * sum(w[1] for w in want)
+    assert all(f[1] <= w[1] for f, w in zip(found, want, strict=True))
+
+
+def test_codes_grow_with_the_rows():
+    assert [V.codes_for(n, 10_000) for n in (0, 1000, 1_000_000, 10**9)] == [32, 32, 125, 1250]
