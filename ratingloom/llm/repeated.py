@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ratingloom.llm.common import id_and_text, raw_bytes, release
 from ratingloom.llm.hashing import U64, Stretches, mix
@@ -20,9 +20,19 @@ KEY = ["doc_id", "row"]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, text): ``row`` tells texts of one doc_id apart; equal rows share it. A null id is no key of a join, so it becomes the least number."""
+    """(doc_id, row, text): ``row`` tells texts of one doc_id apart; equal rows share it.
+
+    A null id is no key of a join and may be that of very many texts, so it becomes one of the least
+    numbers, by 56 more bits of the text's hash; ids in that range are not told from null.
+    """
     d = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    return d.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), F.hash("text").alias("row"), "text")
+    stand_in = F.lit(-(1 << 63)) + F.xxhash64("text").bitwiseAND(F.lit((1 << 56) - 1))
+    return d.select(F.coalesce("doc_id", stand_in).alias("doc_id"), F.hash("text").alias("row"), "text")
+
+
+def given_id() -> Column:
+    """The doc_id of ``keyed`` as it was."""
+    return F.when(F.col("doc_id") >= F.lit(-(1 << 63) + (1 << 56)), F.col("doc_id"))
 
 
 def repeated_values(entries: DataFrame, column: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratingloom.llm.common import lists, raw_bytes, release
 from ratingloom.llm.hashing import U64, Stretches, shingle_hashes, word_hashes
-from ratingloom.llm.repeated import KEY, both_hashes, by_text, covered, keyed, repeated_values, runs, runs_of, with_runs
+from ratingloom.llm.repeated import KEY, both_hashes, by_text, covered, given_id, keyed, repeated_values, runs, runs_of, with_runs
 from ratingloom.sources.durable import durable
 
 PERIOD = 21
@@ -131,7 +131,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
     out = marked.mapInArrow(run, "doc_id bigint, n_words bigint, n_removed bigint, kept string")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
+    return out.withColumn("doc_id", given_id())
 
 
 def digests(docs: DataFrame) -> DataFrame:

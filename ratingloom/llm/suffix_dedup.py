@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratingloom.llm.common import lists, raw_bytes, release
 from ratingloom.llm.hashing import U64, Stretches, mix
-from ratingloom.llm.repeated import KEY, both_hashes, by_text, covered, keyed, repeated_values, runs, runs_of, with_runs
+from ratingloom.llm.repeated import KEY, both_hashes, by_text, covered, given_id, keyed, repeated_values, runs, runs_of, with_runs
 from ratingloom.sources.durable import durable
 
 LENGTH = 400
@@ -191,7 +191,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             )
 
     out = marked.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
+    return out.withColumn("doc_id", given_id())
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ratingloom.llm import substring_dedup as S
 from ratingloom.llm.queries import QUERIES
@@ -54,3 +55,11 @@ def test_whole_table_equals_brute_force(spark):
     d = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     assert got(QUERIES["op7_substring_dedup"](spark, d)) == brute(rows)
+
+
+def test_null_ids_whose_texts_share_a_short_hash(spark):
+    made = spark.range(300_000).selectExpr("repeat(concat('w', id, ' '), cast(36 + id % 9 as int)) AS text")
+    same = made.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("texts")).filter("size(texts) > 1")
+    rows = [(None, t) for r in same.collect() for t in r.texts]
+    assert len(rows) > 3
+    assert got(S.digests(spark.createDataFrame(rows, "doc_id bigint, text string"))) == brute(rows)
