@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -67,6 +70,22 @@ def groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]
         yield pa.Table.from_batches(kept)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, after which the worker gives its free memory back.
+
+    Workers are kept for later stages; what their allocators hold on to would count against the executor all the while.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now.
 

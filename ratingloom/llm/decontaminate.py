@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ratingloom.llm.common import id_and_text
+from ratingloom.llm.common import id_and_text, tidy
 from ratingloom.llm.hashing import BASE, U64, Stretches, mix
 
 # Fixed masks: found by search so that one of them fits between any two of 13 words.
@@ -139,7 +139,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 names = ["doc_id", "item_id", "first_word", "n_words", "n_equal"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-        found = found.union(text.mapInArrow(run, schema))
+        found = found.union(text.mapInArrow(tidy(run), schema))
     most = F.max(F.struct("n_equal", (-F.col("first_word")).alias("f"), "n_words")).alias("m")
     return found.groupBy("doc_id", "item_id").agg(most).select(
         "doc_id", "item_id", (-F.col("m.f")).alias("first_word"), F.col("m.n_words").alias("n_words"), F.col("m.n_equal").alias("n_equal")

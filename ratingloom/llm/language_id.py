@@ -31,6 +31,7 @@ from ratingloom.llm.common import raw_bytes
 ORDER = 3
 SAMPLE_DOCS = 2000  # labelled texts learned for each language, at most
 PIECE = 1 << 18  # bytes scored at once
+TEXTS = 256  # texts whose bytes are held beside the batch
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -230,10 +231,14 @@ def language_of(text: Column, model: Model, spark: SparkSession) -> Column:
 
     @F.pandas_udf("lang string, score double")
     def judge(texts: pd.Series) -> pd.DataFrame:
-        names, score, _ = _judge(sent.value, [(t or "").encode() for t in texts])
-        return pd.DataFrame({"lang": names, "score": score})
-
-    return judge(text)
+        parts = []
+        for a in range(0, len(texts), TEXTS):
+            names, score, _ = _judge(sent.value, [(t or "").encode() for t in texts.iloc[a : a + TEXTS]])
+            parts.append(pd.DataFrame({"lang": names, "score": score}))
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"lang": [], "score": []})
+
+    # else a filter on the result would have each text judged twice, by two workers
+    return judge.asNondeterministic()(text)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

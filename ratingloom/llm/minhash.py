@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ratingloom.llm.common import groups, id_and_text, lists, raw_bytes, release
+from ratingloom.llm.common import groups, id_and_text, lists, raw_bytes, release, tidy
 from ratingloom.llm.components import components
 from ratingloom.llm.hashing import U64, mix, shingle_hashes, word_hashes
 from ratingloom.sources.durable import durable
@@ -112,7 +112,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             )
 
     return id_and_text(docs).mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, packed array<bigint>"
+        tidy(run), "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, packed array<bigint>"
     )
 
 
@@ -154,7 +154,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], ["a", "b"])
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _short_sets(texts: DataFrame) -> DataFrame:
@@ -166,7 +166,7 @@ def _short_sets(texts: DataFrame) -> DataFrame:
             sets = [np.unique((shingle_set(t) >> U64(32)).astype(np.uint32)).view(np.int32) for t in raw_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), lists(sets, pa.int32())], ["rep", "shingles"])
 
-    return texts.mapInArrow(run, "rep bigint, shingles array<int>")
+    return texts.mapInArrow(tidy(run), "rep bigint, shingles array<int>")
 
 
 def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -217,7 +217,7 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     )
     keys = ["bucket", "i", "j"]
     dealt = copies.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(tidy(run), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from ratingloom.llm.common import Remembered, id_and_text, raw_bytes
+from ratingloom.llm.common import Remembered, id_and_text, raw_bytes, tidy
 from ratingloom.sources.durable import durable
 
 TIERS = (2048, 1024, 512, 256)
@@ -325,7 +325,7 @@ def pack(docs: DataFrame, vocabulary: str, tiers: tuple[int, ...] = TIERS, step_
             left = [(d.doc_id, s, n, 0, d.tokens, rows.task, 0, 0, 0) for d, s, n in last.pieces]
             yield _with_ids(_batch(left, False), [d.cut(s, n) for d, s, n in last.pieces])
 
-    first = durable(id_and_text(docs).mapInArrow(run, f"{PIECE}, {OPEN}"))
+    first = durable(id_and_text(docs).mapInArrow(tidy(run), f"{PIECE}, {OPEN}"))
     opened = first.filter(F.col("ids").isNotNull()).withColumn("gathered", F.floor(F.col("sequence_id") / TASKS_GATHERED).cast("bigint"))
 
     def again(t: pa.Table) -> pa.Table:

@@ -19,7 +19,8 @@ def library():
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-TEXTS = ["", " ", "\n\n", "a", "It's 12345 ünïcode — ñandú's 日本語 🎉", "x" * 5000, "ab" * 3000, "é" * 999, " " * 300 + "end", "\x00\x01<|endoftext|>"]
+SPACES = ["a b", "a  b", " a", "  a", "a ", "a  ", "a \nb", "a\n b", "a\n ", "a \n b", "\n \n", "a\u3000 \u00a0b  c", " ", "  ", " 's 't", "a\x1c \x1cb", "a\x85 b \x85 c"]
+TEXTS = [*SPACES, "", " ", "\n\n", "a", "It's 12345 ünïcode — ñandú's 日本語 🎉", "x" * 5000, "ab" * 3000, "é" * 999, " " * 300 + "end", "\x00\x01<|endoftext|>"]
 
 
 @pytest.mark.parametrize("text", TEXTS)
@@ -29,6 +30,17 @@ def test_ids_equal_the_library(library, text):
     assert CODER.decode(ids) == text.encode()
 
 
+def test_slices_of_long_texts(library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "SLICE", 7)
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        text = "".join(rng.choice(list("aab12é' .,  \n\t"), 60))
+        want = library.encode_ordinary(text)
+        n, ids, decoded, slices = CODER.digest(text)
+        assert np.frombuffer(b"".join(slices), np.int32).tolist() == want and n == len(want)
+        assert ids == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest() and decoded == hashlib.sha256(text.encode()).hexdigest()
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("aabcdestihnérüñß  .,'\n\t0129*#日🎉")), max_size=80))
 def test_any_text_equals_the_library(text):
@@ -56,7 +68,7 @@ def test_digests_over_rows_with_nulls_and_clashing_names(spark, library):
 
 
 def test_forgetting_does_not_change_ids(monkeypatch):
-    monkeypatch.setattr(byte_bpe, "WORDS_KEPT", 2)
+    monkeypatch.setattr(byte_bpe, "BYTES_KEPT", 500)
     monkeypatch.setattr(byte_bpe, "PAIRS_KEPT", 2)
     text = "several words that come, several words that go again"
     assert np.array_equal(byte_bpe.Coder(RANKS, P.PATTERN).encode(text), CODER.encode(text))
