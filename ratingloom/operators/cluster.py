@@ -47,7 +47,7 @@ def fit_kmeans(points: DataFrame, k: int, restarts: int = 10, max_iter: int = 50
 
 
 def text_clusters(
-    docs: DataFrame, text_tokens: Column, k: int, min_df: int = 3, restarts: int = 10, max_iter: int = 500, rounds: int = 5, seed: int = 0
+    docs: DataFrame, text_tokens: Column, k: int, min_df: int = 3, restarts: int = 10, max_iter: int = 500, rounds: int = 2, seed: int = 0
 ) -> DataFrame:
     """``(item_id, cluster)`` by k-means on the counts of tokens that at least ``min_df`` items have.
 
@@ -99,7 +99,7 @@ def _nearest(first: int, columns: list[int]) -> Column:
     return F.array_min(F.array(*[F.struct(F.col("d")[j].alias("d"), F.lit(first + n).cast("bigint").alias("c")) for n, j in enumerate(columns)]))
 
 
-def seed_centroids(counts: DataFrame, items: DataFrame, k: int, starts: list[int], rounds: int = 5) -> DataFrame:
+def seed_centroids(counts: DataFrame, items: DataFrame, k: int, starts: list[int], rounds: int = 2) -> DataFrame:
     """(token, w) with k seeds for each start: k-means|| on tables.
 
     In every round each item becomes a candidate with a probability in proportion to its squared distance
