@@ -24,6 +24,7 @@ N = 10  # length of a registered recommendation list
 SUPPORT = 0.15
 CONFIDENCE = 0.2
 BUCKETS = 8  # of the registered bucketed tables
+STARTS = 4  # of the registered text clusterings
 
 
 def query(fn: Query) -> Query:
@@ -436,7 +437,7 @@ def feature_profile_recs(spark, d):
 def fitted_cluster_recs(spark, d):
     """The three item-cluster recommenders on clusters fitted to the token counts."""
     ratings, docs = _ratings(spark, d), T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
-    fitted = durable(cluster.text_clusters(docs, X.tokens(F.col("text")), 10))
+    fitted = durable(cluster.text_clusters(docs, X.tokens(F.col("text")), 10, restarts=STARTS))
     popularity = ratings.groupBy("item_id").agg(F.count("*").cast("double").alias("popularity"))
     lists = durable(fitted.join(popularity, "item_id", "left").select("item_id", "cluster", F.coalesce("popularity", F.lit(0.0)).alias("popularity")))
     made = {
@@ -589,7 +590,7 @@ def item_clusters(spark, d):
 @query
 def item_text_clusters(spark, d):
     docs = T.table(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
-    return cluster.text_clusters(docs, X.tokens(F.col("text")), 10)
+    return cluster.text_clusters(docs, X.tokens(F.col("text")), 10, restarts=STARTS)
 
 
 @query
