@@ -70,6 +70,16 @@ def runs(column: pa.Array, i: int) -> list[tuple[int, int]]:
     return [(r["start"], r["n"]) for r in column[i].as_py() or []]
 
 
+def list_parts(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where the list of each row ends and the next begins, and the values of all lists, or each field of them; a null list is empty."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    values = column.flatten()
+    size = np.diff(column.offsets.to_numpy()) * column.is_valid().to_numpy(zero_copy_only=False)
+    parts = values.flatten() if pa.types.is_struct(values.type) else [values]
+    return np.append(0, np.cumsum(size)), [p.to_numpy(zero_copy_only=False) for p in parts]
+
+
 def both_hashes(one: Stretches, two: Stretches, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent hashes of stretches, their length included."""
     length = (end - start).astype(np.uint64) * U64(0x9E3779B97F4A7C15)

@@ -64,3 +64,55 @@ def test_whole_table_equals_brute_force(spark):
     d = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     assert got(QUERIES["op1_suffix_dedup"](spark, d)) == brute(rows)
+
+
+def brute_repeated(rows, length=400):
+    """Bytes of each row in repeated windows or in repeated stretches of half a window from phrase to trigger."""
+    texts = [(t or "").encode() for _, t in rows]
+    windows = [[(i, i + length) for i in range(len(t) - length + 1)] for t in texts]
+    stretches = []
+    for t in texts:
+        starts = S.phrase_starts(t).tolist()
+        ends = [s + S.TRIGGER for s in starts[1:]]
+        first = [(s, next((e for e in ends if e >= s + length // 2), None)) for s in starts]
+        stretches.append([(s, e) for s, e in first if e])
+    out = [np.zeros(len(t), bool) for t in texts]
+    for kind in (windows, stretches):
+        count = Counter(t[a:e] for t, spans in zip(texts, kind, strict=True) for a, e in spans)
+        for gone, t, spans in zip(out, texts, kind, strict=True):
+            for a, e in spans:
+                if count[t[a:e]] > 1:
+                    gone[a:e] = True
+    return sorted(((doc, int(g.sum())) for (doc, _), g in zip(rows, out, strict=True)), key=str)
+
+
+def repeated(df):
+    return sorted(((r.doc_id, r.n_repeated) for r in df.collect()), key=str)
+
+
+def test_passages_below_a_window_are_reported_and_stay(spark):
+    r = np.random.default_rng(8)
+    word = lambda n: "".join(r.choice(list("abcdefgh éß"), n))
+    passages = [word(int(n)) for n in (60, 150, 200, 230, 300, 330, 360, 700)]
+    rows = [(i, word(int(r.integers(0, 500))) + passages[i % 8] + word(int(r.integers(0, 500)))) for i in range(40)]
+    rows += [(50, passages[4]), (51, passages[4] + "é"), (52, word(1500)), (None, passages[3]), (None, None), (53, "That " * 70)]
+    rows += [rows[3], (54, passages[5]), (54, passages[5])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = S.digests(frame)
+    assert got(found) == brute(rows)
+    assert repeated(found) == brute_repeated(rows)
+    by_doc = {x.doc_id: x for x in found.collect()}
+    for doc in (4, 5, 6):  # 300 to 360 characters, some of two bytes
+        passage = len(passages[doc].encode())
+        assert by_doc[doc].n_repeated > passage // 2 or by_doc[doc].n_removed
+    assert by_doc[50].n_removed == 0 and by_doc[50].n_repeated > 150
+    assert by_doc[52].n_repeated == 0
+
+
+def test_repeated_bytes_of_a_whole_table_equal_brute_force(spark):
+    d = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
+    found = QUERIES["op1_suffix_dedup"](spark, d)
+    assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated"]
+    assert repeated(found) == brute_repeated(rows)
+    assert any(x.n_repeated and not x.n_removed for x in found.collect())
