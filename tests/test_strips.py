@@ -3,7 +3,7 @@ import pytest
 from helpers import rows, snap
 from pyspark.sql import functions as F
 
-from ratingloom.operators import blocks, content, strips
+from ratingloom.operators import blocks, content, knn, strips
 from ratingloom.operators.blocks import Side, block_product, nonzero_cells
 from ratingloom.operators.similarity import nearest, nearest_between, similar_pairs, similarity_summary
 
@@ -110,3 +110,42 @@ def test_snapped_scores_at_the_bar_stay():
     block = blocks.Block(score, np.array([1]), score, np.array([1, 2, 3, 4]), score, score > 0, score, np.array([0.5]))
     assert blocks.best(score, score > 0, block, 3, ("l", "r", "s")).r.tolist() == [4, 1, 2]
     assert snap(0.4999996) == 0.5
+
+
+def _block(entries, ids, aux, cells=((), ())):
+    """A block of a strip from (key, place of the id, value)."""
+    out = object.__new__(strips._Sub)
+    out.ids, out.aux = np.arange(ids), np.asarray(aux, float).reshape(ids, 1)
+    out.norms, out.top = np.ones(ids), 1.0
+    key, out.at, out.vals = (np.array(c) for c in zip(*sorted(entries)))
+    out.keys, out.counts = np.unique(key, return_counts=True)
+    out.starts = np.cumsum(out.counts) - out.counts
+    out.cell_ids, out.cell_vals = np.array(cells[0]), np.array(cells[1], float)
+    out.cell_at = out.at
+    return out
+
+
+@pytest.mark.parametrize("metric", ["cosine", "minkowski"])
+@pytest.mark.parametrize("k", [1, 3, 9])
+def test_users_scored_together_and_one_by_one_agree(monkeypatch, metric, k):
+    rng = np.random.default_rng(k)
+    monkeypatch.setattr(knn, "ITEM_BLOCK", 7)
+    rated = rng.random((30, 12)) < 0.5
+    users, keys = np.nonzero(rated)
+    norm = rng.integers(1, 9, 12)
+    left = _block([(j, u, float(rng.integers(1, 11)) / 2) for u, j in zip(users, keys)], 30, np.zeros(30))
+    left.cell_ids, left.cell_vals = np.sort(keys), norm[np.sort(keys)].astype(float)
+    # item 0 is the same as rated item 0: distance 0
+    right = _block([(j, i, float(norm[j] ** 2) if i == j == 0 else 1.0) for j in range(12) for i in range(20) if rng.random() < 0.6 or i == j == 0], 20, np.r_[norm[0], rng.integers(9, 20, 19)])
+    together = knn.item_scores(left, right, k, metric)
+    monkeypatch.setattr(knn, "DENSE_KEYS", 0)
+    assert np.allclose(together, knn.item_scores(left, right, k, metric), atol=1e-12)
+
+
+def test_item_knn_does_not_copy_products_to_user_blocks(spark):
+    ratings = spark.createDataFrame([(1, 1, 5.0), (2, 2, 3.0)], "user_id bigint, item_id bigint, rating double")
+    bow = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 1)], "item_id bigint, token string, cnt bigint")
+    recs = knn.item_knn(ratings, bow, bow.select("item_id"), 2, 2)
+    plan = recs._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "user_id" not in x]
+    assert rows(recs, "user_id", "item_id", "score") == [(1, 2, 5.0), (1, 3, 5.0), (2, 1, 3.0), (2, 3, 3.0)]
