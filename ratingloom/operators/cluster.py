@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -39,8 +41,12 @@ def _next_prime(sizes: pd.Series) -> pd.Series:
 def fit_kmeans(points: DataFrame, k: int, restarts: int = 10, max_iter: int = 500, seed: int = 0) -> KMeansModel:
     """K-means on a ``features`` vector column beside an id, the first column; the cheapest of several starts."""
     data = training_rows(points, points.columns[0]).select("features").persist()
+    cores = points.sparkSession.sparkContext.defaultParallelism
     try:
-        models = [KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(data) for i in range(restarts)]
+        data.count()  # kept before the starts read it
+        # a start has few tasks a step, so several starts run side by side; each is what it is alone
+        with ThreadPoolExecutor(max(1, min(restarts, cores))) as pool:
+            models = list(pool.map(lambda i: KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(data), range(restarts)))
     finally:
         data.unpersist()
     return min(models, key=lambda m: m.summary.trainingCost)
