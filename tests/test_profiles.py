@@ -1,6 +1,6 @@
 from helpers import rows
 
-from ratingloom.operators import content
+from ratingloom.operators import content, features
 
 
 def _tables(spark):
@@ -24,3 +24,11 @@ def test_profiles_are_weighted_sums(spark):
     features = content.weighted_user_features(ratings, bow).filter("user_id is not null")
     assert rows(features, "user_id", "token", "weight") == [(1, "car", 1.0), (1, "red", 3.5), (2, "red", 0.6)]
     assert content.weighted_user_features(ratings, bow).filter("user_id is null").count() == 2
+
+
+def test_counting_tokens_moves_texts_and_no_tokens(spark):
+    docs = spark.createDataFrame([(1, "red car red"), (2, "car"), (1, "red"), (3, None)], "item_id bigint, text string")
+    counts = features.bag_of_words(docs, "item_id", "text")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert [x for x in plan.split("\n") if "Exchange" in x] and not [x for x in plan.split("\n") if "Exchange" in x and "token" in x]
+    assert rows(counts, "item_id", "token", "cnt") == [(1, "car", 1), (1, "red", 3), (2, "car", 1)]
